@@ -89,6 +89,8 @@ def scan_delimited(
         .option("header", False)
         .option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", _ODD)
+        # a reader that skips columns does not notice odd lines
+        .option("columnPruning", False)
         .option("escape", '"')
         .csv(paths)
     )
@@ -101,7 +103,8 @@ def scan_delimited(
         F.col("_metadata.file_path").alias("file"),
         F.col("_metadata.file_name").alias("file_name"),
         *names,
-        F.when(too_long, F.col(_ODD)).alias(OVERFLOW),
+        # a query on nothing but the odd lines is refused, so name a column
+        F.when(too_long, F.coalesce(_ODD, names[0])).alias(OVERFLOW),
     )
 
 
