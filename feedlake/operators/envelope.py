@@ -97,21 +97,20 @@ def strip_header_type(df: DataFrame) -> DataFrame:
 
 
 def tag_lines(df: DataFrame, anchored: bool = False) -> DataFrame:
-    """Tag and strip the lines of feeds of both kinds in one pass.
+    """Record types of the lines of feeds of both kinds, without their headers, in one pass.
 
-    Same results as ``tag_single`` + ``strip_header_contains`` on the rows of
-    single-type feeds and ``tag_multi`` + ``strip_header_type`` on the others.
+    Same rows and record types as ``tag_single`` + ``strip_header_contains``
+    for single-type feeds and ``tag_multi`` + ``strip_header_type`` for others.
+    The line stays whole; ``lead`` is the number of its fields that come before
+    the body.
     """
     value, feed = F.col("value"), F.col("feed")
     single = is_single_type(feed)
-    tagged = df.withColumns(
-        {
-            "recordtype": F.when(single, feed).otherwise(first_field(value)),
-            "custom": F.when(single, value).otherwise(rest_of_line(value)),
-        }
+    recordtype = F.when(single, feed).otherwise(first_field(value))
+    header = F.when(single, _names_feed(anchored)).otherwise(recordtype == feed)
+    return df.where(~header).withColumns(
+        {"recordtype": recordtype, "lead": F.when(single, 0).otherwise(1)}
     )
-    header = F.when(single, _names_feed(anchored)).otherwise(F.col("recordtype") == feed)
-    return tagged.where(~header)
 
 
 def record_types(df: DataFrame) -> DataFrame:

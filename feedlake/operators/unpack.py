@@ -17,16 +17,17 @@ class WidthError(ValueError):
     """A record type of a file does not have the registered number of fields."""
 
 
-def unpack(df: DataFrame, names: Sequence[str]) -> DataFrame:
-    """Split ``custom`` and name its fields by position; ``custom`` is dropped.
+def unpack(df: DataFrame, names: Sequence[str], text: str = "custom", lead: int = 0) -> DataFrame:
+    """Split ``text`` and name its fields by position; ``text`` is dropped.
 
-    Missing fields are null and fields beyond the last name are ignored; which
-    widths are acceptable is ``width_guard``'s matter.
+    The first ``lead`` fields are skipped. Missing fields are null and fields
+    beyond the last name are ignored; which widths are acceptable is
+    ``width_guard``'s matter.
     """
-    kept = [c for c in df.columns if c != "custom"]
+    kept = [c for c in df.columns if c != text]
     # The split is used once per name, so Catalyst keeps it in its own projection.
-    split = df.select(*kept, fields(F.col("custom")).alias("_fields"))
-    named = {n: F.get("_fields", F.lit(i)).alias(n) for i, n in enumerate(names)}
+    split = df.select(*kept, fields(F.col(text)).alias("_fields"))
+    named = {n: F.get("_fields", F.lit(i)).alias(n) for i, n in enumerate(names, start=lead)}
     # A registered name that the table already has replaces that column.
     replaced = [named.pop(c) if c in named else F.col(c) for c in kept]
     return split.select(*replaced, *named.values())

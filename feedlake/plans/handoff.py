@@ -6,8 +6,12 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+# Rows of a driver-made lookup table that may be broadcast without a size known to Spark.
+_LOOKUP_ROWS = 10_000
+
 _local_folders: dict[str, str] = {}
 
 
@@ -46,6 +50,16 @@ def written(df: DataFrame, path: str | None = None, partition_by: tuple[str, ...
     return spark.read.schema(df.schema).parquet(path)
 
 
+def from_driver(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
+    """A lookup table of rows the driver already holds, such as the registry.
+
+    Spark does not know the size of such a table, so it is broadcast here while
+    it is small; a larger one is handed over as a written table.
+    """
+    table = spark.createDataFrame(rows, schema)
+    return F.broadcast(table) if len(rows) <= _LOOKUP_ROWS else written(table)
+
+
 def read_table(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
     """Read a Parquet table that may not have been written yet."""
     folder = spark._jvm.org.apache.hadoop.fs.Path(path)

@@ -17,6 +17,7 @@ from collections.abc import Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field, replace
 from datetime import datetime, timezone
+from functools import reduce
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -33,6 +34,7 @@ from feedlake.constants import (
     QUEUE_RECORDTYPE,
     RECORD_DATE_FORMATS,
     REPAIR_NAME_PART,
+    SINGLE_TYPE_FEEDS,
 )
 from feedlake.functions.dates import date_columns, parses
 from feedlake.functions.text import fields, repair_literals
@@ -41,7 +43,6 @@ from feedlake.operators.envelope import (
     attach_header,
     feed_header,
     first_lines,
-    is_single_type,
     prepend_literal,
     snapshot_from_name,
     tag_lines,
@@ -56,7 +57,7 @@ from feedlake.operators.typing_rules import (
     parse_doubles,
 )
 from feedlake.operators.unpack import WidthError, unpack, width_ok
-from feedlake.plans.handoff import fresh_folder, written
+from feedlake.plans.handoff import fresh_folder, from_driver, written
 from feedlake.session import configure
 from feedlake.sinks.ledger import Ledger
 from feedlake.sinks.snapshot import publish
@@ -159,22 +160,31 @@ def check_arrival(spark: SparkSession, cfg: LoadConfig) -> tuple[DataFrame, str]
     return files.where(F.col("suffix") == PAYLOAD_SUFFIX), verdict.status
 
 
+# Payloads that together are smaller than this are scanned for their headers:
+# that costs less than starting a Python worker for each file.
+_SCAN_BYTES = 256 << 20
+
+
 def read_headers(spark: SparkSession, files: DataFrame, trim: bool = False) -> DataFrame:
     """Header of every non-empty file of ``files``, as a written table.
 
     Files whose header the early-stopping read did not give (it counts on one
     file per partition) are looked up by scanning them.
     """
-    paths = _paths(files)
-    headers = written(feed_header(sniff_first_lines(spark, paths, trim)))
+
+    def scanned(paths: list[str]) -> DataFrame:
+        return feed_header(first_lines(scan_lines(spark, paths, trim)))
+
     filled = files.where("length > 0")
-    if headers.count() == filled.count():
+    size = filled.agg(F.count("*").alias("files"), F.sum("length").alias("bytes")).first()
+    paths = _paths(filled)
+    if not paths or size["bytes"] <= _SCAN_BYTES:
+        return written(scanned(paths))
+    headers = written(feed_header(sniff_first_lines(spark, paths, trim)))
+    if headers.count() == size["files"]:
         return headers
     missing = _paths(filled.join(headers, files.path == headers.file, "left_anti"))
-    if not missing:
-        return headers
-    scanned = feed_header(first_lines(scan_lines(spark, missing, trim)))
-    return written(headers.unionByName(scanned))
+    return written(headers.unionByName(scanned(missing))) if missing else headers
 
 
 def _paths(files: DataFrame) -> list[str]:
@@ -204,10 +214,9 @@ class RecordSchema:
         return cls(key, kept, [i for i, n in enumerate(kept) if n in dated])
 
 
-def _words(schemas: Mapping[str, RecordSchema]) -> range:
-    """Numbers of the flag columns that the record type with most dates needs."""
-    most = max((len(s.dates) for s in schemas.values()), default=0)
-    return range(max(1, -(-most // _FLAGS)))
+def _slots(schemas: Mapping[str, RecordSchema]) -> range:
+    """Numbers of date columns, up to the record type with most of them."""
+    return range(max((len(s.dates) for s in schemas.values()), default=0))
 
 
 def bronze_lines(
@@ -231,13 +240,14 @@ def bronze_lines(
     lines = lines.select("file", "value")
     tagged = tag_lines(attach_header(lines, headers), cfg.anchored_headers)
 
-    words = _words(schemas)
-    table = spark.createDataFrame(
+    slots = _slots(schemas)
+    table = from_driver(
+        spark,
         [
-            (s.key, len(s.names), *(s.dates[w * _FLAGS : (w + 1) * _FLAGS] for w in words))
+            (s.key, len(s.names), *(s.dates[n] if n < len(s.dates) else None for n in slots))
             for s in schemas.values()
         ],
-        "key string, expected int" + "".join(f", _dates_{w} array<int>" for w in words),
+        "key string, expected int" + "".join(f", _date_{n} int" for n in slots),
     )
     keyed = tagged.withColumn(
         "_key", registry_key(F.col("feed"), F.col("recordtype"), cfg.prefixes)
@@ -248,19 +258,18 @@ def bronze_lines(
         .when(F.col("key").isNull(), "no_schema")
         .otherwise(OK)
     )
-    judged = known.withColumns({"reason": reason, "_fields": fields(F.col("custom"))})
+    judged = known.withColumns({"reason": reason, "_fields": fields(F.col("value"))})
     good = F.col("reason") == OK
     return judged.select(
         "file",
         "feed",
         "recordtype",
-        "custom",
+        F.col("value").alias("line"),
         "snap_dt",
         "expected",
-        # A second use of the split keeps it in a projection of its own;
-        # otherwise it would be moved into the lambda and run once per date.
-        F.coalesce(F.size("_fields"), F.lit(1)).alias("width"),
-        *(_unfit_dates(f"_dates_{w}").alias(f"unfit_{w}") for w in words),
+        # a line without a body still has one, missing, field
+        F.greatest(F.size("_fields") - F.col("lead"), F.lit(1)).alias("width"),
+        *_unfit_dates(slots),
         "reason",
         F.when(good, F.col("feed")).otherwise(NO_PARTITION).alias("part_feed"),
         F.when(good, F.col("recordtype")).otherwise(NO_PARTITION).alias("part_type"),
@@ -268,16 +277,22 @@ def bronze_lines(
     )
 
 
-def _unfit_dates(dates: str) -> Column:
-    """One bit per date column: its text does not match the first format."""
+def _unfit_dates(slots: range) -> list[Column]:
+    """Flag columns ``unfit_<n>``: one bit per date column whose text is not of the first format."""
 
-    def flag(at: Column, bit: Column) -> Column:
-        unfit = ~parses(F.get("_fields", at), RECORD_DATE_FORMATS[0])
-        one = F.lit(1).cast("bigint")
-        return F.when(unfit, F.call_function("shiftleft", one, bit)).otherwise(F.lit(0).cast("bigint"))
+    def flag(n: int) -> Column:
+        text = F.get("_fields", F.col(f"_date_{n}") + F.col("lead"))
+        unfit = ~parses(text, RECORD_DATE_FORMATS[0])
+        return F.when(unfit, F.lit(1 << n % _FLAGS)).otherwise(0).cast("bigint")
 
-    flags = F.transform(dates, flag)
-    return F.reduce(flags, F.lit(0).cast("bigint"), lambda a, b: a.bitwiseOR(b))
+    words = range(0, max(len(slots), 1), _FLAGS)
+    none = F.lit(0).cast("bigint")
+    return [
+        reduce(Column.bitwiseOR, (flag(n) for n in slots[first : first + _FLAGS]), none).alias(
+            f"unfit_{word}"
+        )
+        for word, first in enumerate(words)
+    ]
 
 
 def write_bronze(lines: DataFrame, path: str) -> DataFrame:
@@ -320,6 +335,10 @@ class TablePlan:
     bad_rows: int
     first_fits: dict[str, bool | None]
 
+    @property
+    def lead(self) -> int:
+        return 0 if self.feed in SINGLE_TYPE_FEEDS else 1
+
 
 @dataclass(frozen=True)
 class DayPlan:
@@ -388,7 +407,7 @@ def typed_table(
     files = verdicts.where(_of_table(plan, cfg))
     if plan.bad_rows:
         rows = rows.join(files.where(~F.col("fits")).select("file"), "file", "left_anti")
-    kept = ["recordtype", "custom", "snap_dt"]
+    kept = ["recordtype", "line", "snap_dt"]
     by_column = cfg.date_rule == "fallback" and cfg.date_scope == "column"
     if by_column and None in plan.first_fits.values():
         flags = {c: f"_{c}" for c in _unfit_columns(verdicts)}
@@ -397,7 +416,7 @@ def typed_table(
         )
         kept += flags.values()
     names, dates = plan.schema.names, list(plan.first_fits)
-    out = unpack(rows.select(*kept), names)
+    out = unpack(rows.select(*kept), names, text="line", lead=plan.lead)
     if cfg.date_rule == "coerce":
         out = coerce_dates(out, dates)
     elif cfg.date_scope == "row":
@@ -418,13 +437,6 @@ def typed_table(
     return out.select(*lead, "snap_dt")
 
 
-def _line() -> Column:
-    """The line a bronze row was made from."""
-    return F.when(is_single_type(F.col("feed")), F.col("custom")).otherwise(
-        F.concat_ws("|", "recordtype", "custom")
-    )
-
-
 def rejected_lines(
     bronze: DataFrame, verdicts: DataFrame, plans: Sequence[TablePlan], cfg: LoadConfig
 ) -> DataFrame:
@@ -435,7 +447,7 @@ def rejected_lines(
     """
 
     def reject(rows: DataFrame, reason: Column) -> DataFrame:
-        return rows.select("file", "recordtype", _line().alias("line"), reason.alias("reason"))
+        return rows.select("file", "recordtype", "line", reason.alias("reason"))
 
     out = reject(bronze.where(F.col("reason") != OK), F.col("reason"))
     for plan in plans:
@@ -448,14 +460,10 @@ def rejected_lines(
         if plan.feed == PLACEMENT_FEED and amounts and cfg.money_on_error == "null":
             if plan.bad_rows:
                 rows = rows.join(files.where("fits").select("file"), "file", "left_semi")
-            unpacked = unpack(
-                rows.select("file", "feed", "recordtype", _line().alias("line"), "custom"),
-                plan.schema.names,
-            )
+            whole = rows.select("file", "recordtype", "line", F.col("line").alias("_text"))
+            unpacked = unpack(whole, plan.schema.names, text="_text", lead=plan.lead)
             notes = unpacked.where(F.size(bad_amounts(amounts)) > 0)
-            out = out.unionByName(
-                notes.select("file", "recordtype", "line", F.lit("amount").alias("reason"))
-            )
+            out = out.unionByName(reject(notes, F.lit("amount")))
     return out
 
 

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from feedlake.constants import ENVELOPE_COLUMNS, FEED_PREFIXES, QUEUE_KEY
+from feedlake.plans.handoff import from_driver
 
 Registry = Mapping[str, Sequence[str]]
 
@@ -56,11 +57,10 @@ def schema_for(
 ) -> DataFrame:
     """Add ``key`` and ``names`` (pruned) to each row; both null when unregistered.
 
-    The registry is metadata of a known small size: it is collected once and
-    joined as a local table, so Catalyst sees its exact size.
+    The registry is collected once (one row per record type), pruned and joined
+    as a lookup table; the rows of ``df`` are not shuffled for it.
     """
-    spark = df.sparkSession
     rows = [(k, prune_schema(v, exclude)) for k, v in registry_entries(registry).items()]
-    table = spark.createDataFrame(rows, "key string, names array<string>")
+    table = from_driver(df.sparkSession, rows, "key string, names array<string>")
     keyed = df.withColumn("_key", registry_key(F.col(feed), F.col(recordtype)))
     return keyed.join(table, keyed["_key"] == table["key"], "left").drop("_key")

@@ -34,15 +34,6 @@ def scan_lines(spark: SparkSession, paths: Sequence[str] | str, trim: bool = Fal
     )
 
 
-def _first_line(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The first non-blank line of a task's input; the rest is never asked for."""
-    for batch in batches:
-        for at, value in enumerate(batch.column("value").to_pylist()):
-            if value.strip(" "):
-                yield batch.slice(at, 1)
-                return
-
-
 def sniff_first_lines(
     spark: SparkSession, paths: Sequence[str] | str, trim: bool = False
 ) -> DataFrame:
@@ -54,6 +45,15 @@ def sniff_first_lines(
     cost is one small read per file, whatever the file's size. The settings
     that give each file its own partition live in a session of their own.
     """
+
+    # Defined here so that it travels by value: executors need not have this package.
+    def first_line(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at, value in enumerate(batch.column("value").to_pylist()):
+                if value.strip(" "):
+                    yield batch.slice(at, 1)
+                    return
+
     session = spark.newSession()
     session.conf.set("spark.sql.files.maxPartitionBytes", _WHOLE_FILE)
     session.conf.set("spark.sql.files.openCostInBytes", _WHOLE_FILE)
@@ -63,7 +63,7 @@ def sniff_first_lines(
         F.col("_metadata.file_block_start").alias("block_start"),
         "value",
     )
-    firsts = lines.mapInArrow(_first_line, lines.schema)
+    firsts = lines.mapInArrow(first_line, lines.schema)
     # A file larger than one partition gives one row for each of its parts.
     first = F.min_by("value", "block_start")
     return firsts.groupBy("file").agg((F.trim(first) if trim else first).alias("value"))
