@@ -38,40 +38,38 @@ def spark(tmp_path_factory):
     session.stop()
 
 
-@pytest.fixture
-def landing(tmp_path):
+class Landing:
     """Folders of one load, with helpers to drop files and to make its configuration."""
 
-    class Landing:
-        def __init__(self):
-            self.first = tmp_path / "first"
-            self.second = tmp_path / "second"
-            self.first.mkdir()
-            self.second.mkdir()
-            self.registry = tmp_path / "registry.json"
-            self.registry.write_text(json.dumps(GOLDEN_REGISTRY))
-
-        def drop(self, name, *lines, source="first", end="\n"):
-            path = getattr(self, source) / name
-            path.write_bytes("".join(line + end for line in lines).encode())
-            return path
-
-        def markers(self, day, count=6):
-            for i in range(count):
-                self.drop(f"M{i}_{day}.mrk")
-
-        def config(self, day="20240115", **changes):
-            settings = {
-                "sources": {"first": str(self.first), "second": str(self.second)},
-                "registry": str(self.registry),
-                "target": str(tmp_path / "published"),
-                "ledger": str(tmp_path / "ledger"),
-                "syncday": day,
-                **changes,
-            }
-            return LoadConfig(**settings)
-
-        def table(self, spark, recordtype, feed):
-            return spark.read.parquet(str(tmp_path / "published" / recordtype / feed))
-
-    return Landing()
+    def __init__(self, root):
+        self.root = root
+        (root / "first").mkdir()
+        (root / "second").mkdir()
+        (root / "registry.json").write_text(json.dumps(GOLDEN_REGISTRY))
+
+    def drop(self, name, *lines, source="first", end="\n"):
+        path = self.root / source / name
+        path.write_bytes("".join(line + end for line in lines).encode())
+
+    def markers(self, day, count=6):
+        for i in range(count):
+            self.drop(f"M{i}_{day}.mrk")
+
+    def config(self, day="20240115", **changes):
+        settings = {
+            "sources": {"first": str(self.root / "first"), "second": str(self.root / "second")},
+            "registry": str(self.root / "registry.json"),
+            "target": str(self.root / "published"),
+            "ledger": str(self.root / "ledger"),
+            "syncday": day,
+            **changes,
+        }
+        return LoadConfig(**settings)
+
+    def table(self, spark, recordtype, feed=None):
+        return spark.read.parquet(str(self.root / "published" / recordtype / (feed or recordtype)))
+
+
+@pytest.fixture
+def landing(tmp_path):
+    return Landing(tmp_path)

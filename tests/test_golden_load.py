@@ -1,8 +1,11 @@
 """End-to-end loads of small hand-written feeds."""
 
 from datetime import datetime
+from pathlib import Path
 
+import pyarrow.parquet as pq
 import pytest
+from conftest import Landing
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
@@ -12,324 +15,296 @@ from feedlake.plans.ingest import IncompleteArrival, RejectedRows
 from feedlake.sinks import Ledger
 
 DAY = "20240115"
-PLAIN = "AcctActReturnFile|x|20240115"
+ACCT = "AcctActReturnFile"
+AGENT = "AgentReturnFile"
+WORKFLOW = "WorkflowReturnFile"
+PLACEMENT = "AcctPlacementFile"
+QUEUE = "QueueExport"
+
+PLAIN = f"{ACCT}|x|{DAY}"
+WORK = f"HDR|{WORKFLOW}|{DAY}093000"
+PLACE = f"HDR|{PLACEMENT}|{DAY}093000"
+SHORT, LONG = datetime(2024, 1, 10), datetime(2024, 1, 11, 10, 15)
 
 
 def rows(df, *cols):
     return sorted((tuple(r) for r in df.select(*cols).collect()), key=str)
 
 
-def load(spark, landing, **changes):
-    landing.markers(DAY)
-    return daily_load(spark, landing.config(**changes))
+def of(df, prefix, *cols):
+    """Rows of one of the files; their account numbers start alike."""
+    return rows(df.where(F.col("accountno").startswith(prefix)), "accountno", *cols)
 
 
 def reasons(result):
     return rows(result.rejects, "recordtype", "line", "reason") if result.rejects else []
 
 
-ACT = [
-    ("ACT", "a1", datetime(2024, 1, 10, 10, 15), "C1", datetime(2024, 1, 15)),
-    ("ACT", "a2", None, "C2", datetime(2024, 1, 15)),
-]
-G1 = (PLAIN, "ACT|a1|20240110101500|C1", "NOT|a1|20240111120000|hi", "ACT|a2||C2")
-ACT_COLS = ("recordtype", "accountno", "actiondate", "actioncode", "snap_dt")
-
-
-def test_multi_type_plain_header(spark, landing):
-    landing.drop("Act_20240115.pgp", *G1)
-    result = load(spark, landing)
-    act = landing.table(spark, "ACT", "AcctActReturnFile")
-    assert rows(act, *ACT_COLS) == ACT
-    assert act.columns == [*ACT_COLS, "snap_day"]
-    assert landing.table(spark, "NOT", "AcctActReturnFile").count() == 1
-    assert result.published == 3 and result.rejected == 0 and result.status == "ok"
-
-
-def test_multi_type_hdr_header(spark, landing):
-    landing.drop("Act_20240115.pgp", "HDR|AcctActReturnFile|20240115093000", G1[1])
-    result = load(spark, landing)
-    assert rows(landing.table(spark, "ACT", "AcctActReturnFile"), *ACT_COLS) == ACT[:1]
-    assert reasons(result) == [("HDR", "HDR|AcctActReturnFile|20240115093000", "no_schema")]
-
-
-def test_unusable_lines_fail_when_none_are_allowed(spark, landing):
-    landing.drop("Act_20240115.pgp", *G1, "ZZZ|1")
-    with pytest.raises(RejectedRows):
-        load(spark, landing, fail_fast=True)
-
-
-WORK = (
-    "HDR|WorkflowReturnFile|20240115093000",
-    "a1|20240110101500|S1",
-    "a2|20240110101500|WorkflowReturnFile",
-)
-
-
-@pytest.mark.parametrize(("anchored", "left"), [(False, ["a1"]), (True, ["a1", "a2"])])
-def test_single_type_body_naming_the_feed(spark, landing, anchored, left):
-    landing.drop("Work_20240115.pgp", *WORK)
-    load(spark, landing, anchored_headers=anchored)
-    table = landing.table(spark, "WorkflowReturnFile", "WorkflowReturnFile")
-    assert [r[0] for r in rows(table, "accountno")] == left
-
-
-def test_short_rows_are_padded(spark, landing):
-    landing.drop("Work_20240115.pgp", *WORK[:2], "a2|20240110101500")
-    load(spark, landing)
-    table = landing.table(spark, "WorkflowReturnFile", "WorkflowReturnFile")
-    assert rows(table, "accountno", "step") == [("a1", "S1"), ("a2", None)]
-
-
-@pytest.mark.parametrize(
-    "body",
-    [
-        ["a1|20240110101500", "a2|20240110101500"],
-        ["a1|20240110101500|S1|extra"],
-        ["a1|20240110101500|S1|extra", "a2|20240110101500|S2"],
-    ],
-    ids=["all short", "too wide", "one too wide"],
-)
-def test_wrong_width_refuses_the_group(spark, landing, body):
-    landing.drop("Work_20240115.pgp", WORK[0], *body)
-    landing.drop("Other_20240115.pgp", WORK[0], WORK[1])
-    result = load(spark, landing)
-    table = landing.table(spark, "WorkflowReturnFile", "WorkflowReturnFile")
-    assert rows(table, "accountno", "step") == [("a1", "S1")]
-    assert reasons(result) == [("WorkflowReturnFile", line, "width") for line in sorted(body)]
-    assert result.rejected == len(body)
-
-
-def test_wrong_width_fails_when_none_is_allowed(spark, landing):
-    landing.drop("Work_20240115.pgp", WORK[0], "a1|20240110101500|S1|extra")
-    config = landing.config(fail_fast=True)
-    landing.markers(DAY)
-    with pytest.raises(WidthError):
-        daily_load(spark, config)
-    (run,) = Ledger(spark, config.ledger).runs().collect()
-    assert run.status == "failed" and "WorkflowReturnFile" in run.message
-    assert Ledger(spark, config.ledger).files().count() == 0
+# --- one day with many files ---------------------------------------------------------------
+
+
+@pytest.fixture(scope="module")
+def day(spark, tmp_path_factory):
+    """Landing folders and result of a day on which everything happens at once."""
+    land = Landing(tmp_path_factory.mktemp("day"))
+    land.markers(DAY)
+    drop = land.drop
+    act = (PLAIN, "ACT|a1|20240110101500|C1", "NOT|a1|20240111120000|hi", "ACT|a2||C2")
+    drop("Act_20240115.pgp", *act)
+    drop("Crlf_20240115.pgp", "", *(line.replace("|a", "|crlf") for line in act), "  ", end="\r\n")
+    drop("Hdr_20240115_.pgp", f"HDR|{ACCT}|{DAY}093000", "ACT|h1|20240110101500|C1", source="second")
+    drop("Types_20240115.pgp", PLAIN, "01|t1|x", "|t2|y", "ZZZ|1", "NOBODY", "act|t3||C9")
+    drop("Header_20240115.pgp", f"{ACCT}|x|2024-01", "ACT|bad1||C1")
+    drop("Unknown_20240115.pgp", f"Elsewhere|x|{DAY}", "ACT|bad2||C1")
+    drop("Late_20240115.pgp", f"{ACCT}|x|20240114", "ACT|late1||C9")
+    drop("Empty_20240115.pgp")
+
+    drop("Named_20240115.pgp", WORK, "n1|20240110101500|S1", f"n2|20240110101500|{WORKFLOW}")
+    drop("Padded_20240115.pgp", WORK, "p1|20240110101500|S1", "p2|20240110101500")
+    drop("AllShort_20240115.pgp", WORK, "short1|20240110101500", "short2|20240110101500")
+    drop("Wide_20240115.pgp", WORK, "wide1|20240110101500|S1|extra", "wide2|20240110101500|S2")
+    drop(
+        "AccountPlacementImportFile_20240115.pgp",
+        WORK,
+        '"u|@x.test"|20240110101500|S1',
+        "u2|20240110101500|Shop | 店",
+    )
+    drop("Unrepaired_20240115.pgp", WORK, "v1|20240110101500|Shop , S1")
 
+    drop("Extra_20240115.pgp", PLACE, "x1|20240110101500| 10.5 ||")
+    drop("TwoExtra_20240115.pgp", PLACE, "xx1|20240110101500| 10.5 |||")
+    drop("Dates1_20240115.pgp", PLACE, "d1|20240110|1|1", "d2|20240111101500|1|1")
+    drop("Dates2_20240115.pgp", PLACE, "e1|20240111101500|1|1", "e2||1|1")
 
-PLACE = "HDR|AcctPlacementFile|20240115093000"
-PLACE_TABLE = ("AcctPlacementFile", "AcctPlacementFile")
+    drop(
+        "QueueExport_20240115.pgp",
+        "1|a1|2024-01-10 00:00:00|2024-01-12|ok",
+        '2|"a|2"|2024-01-11 10:15:00||',
+        "3|a3|2024-01-11 10:15:00|x|y|",
+        "4|NaN||null",
+    )
+    drop("QueueExport_202401151.pgp", "5|NA|20240110|null|ok", "6|a6|NaN|x|N/A")
+    config = land.config(repairs=[('"u|@x.test"', "u@x.test"), ("Shop | 店", "Shop , 店")])
+    return land, daily_load(spark, config), config
 
 
-def test_placement_takes_one_extra_field(spark, landing):
-    landing.drop("P_20240115.pgp", PLACE, "a1|20240110101500| 10.5 ||")
-    load(spark, landing)
-    got = rows(landing.table(spark, *PLACE_TABLE), "accountno", "creditline", "balance")
-    assert got == [("a1", 10.5, 0.0)]
+ACT_COLS = ("actiondate", "actioncode", "snap_dt")
+SNAP = datetime(2024, 1, 15)
+ACT_1 = datetime(2024, 1, 10, 10, 15)
 
 
-def test_placement_refuses_two_extra_fields(spark, landing):
-    landing.drop("P_20240115.pgp", PLACE, "a1|20240110101500| 10.5 |||")
-    assert reasons(load(spark, landing)) == [
-        ("AcctPlacementFile", "a1|20240110101500| 10.5 |||", "width")
+@pytest.mark.parametrize(("prefix"), ["a", "crlf"])
+def test_plain_header(spark, day, prefix):
+    table = day[0].table(spark, "ACT", ACCT)
+    assert table.columns == ["recordtype", "accountno", *ACT_COLS, "snap_day"]
+    assert of(table, prefix, *ACT_COLS) == [
+        (f"{prefix}1", ACT_1, "C1", SNAP),
+        (f"{prefix}2", None, "C2", SNAP),
     ]
+    assert of(day[0].table(spark, "NOT", ACCT), prefix, "text") == [(f"{prefix}1", "hi")]
 
 
-LONG, SHORT = datetime(2024, 1, 11, 10, 15), datetime(2024, 1, 10)
+def test_hdr_header(spark, day):
+    assert of(day[0].table(spark, "ACT", ACCT), "h", *ACT_COLS) == [("h1", ACT_1, "C1", SNAP)]
 
 
-@pytest.mark.parametrize(
-    ("rule", "expected"),
-    [
-        ({}, [("a1", SHORT), ("a2", None), ("b1", LONG), ("b2", None)]),
-        ({"date_scope": "row"}, [("a1", SHORT), ("a2", LONG), ("b1", LONG), ("b2", None)]),
-        ({"date_rule": "coerce"}, [("a1", None), ("a2", LONG), ("b1", LONG), ("b2", None)]),
-    ],
-    ids=["column", "row", "coerce"],
-)
-def test_date_fallback_is_per_file(spark, landing, rule, expected):
-    landing.drop("P1_20240115.pgp", PLACE, "a1|20240110|1|1", "a2|20240111101500|1|1")
-    landing.drop("P2_20240115.pgp", PLACE, "b1|20240111101500|1|1", "b2||1|1")
-    load(spark, landing, **rule)
-    assert rows(landing.table(spark, *PLACE_TABLE), "accountno", "placementdate") == expected
-
-
-def test_dates_all_short(spark, landing):
-    landing.drop("P1_20240115.pgp", PLACE, "a1|20240110|1|1", "a2|oops|1|1")
-    load(spark, landing)
-    got = rows(landing.table(spark, *PLACE_TABLE), "accountno", "placementdate")
-    assert got == [("a1", SHORT), ("a2", None)]
+def test_record_type_text_is_kept(spark, day):
+    assert rows(day[0].table(spark, "01", ACCT), "recordtype", "accountno", "code") == [
+        ("01", "t1", "x")
+    ]
+    # the registry is looked up in lower case, the table is named as in the feed
+    assert rows(day[0].table(spark, "act", ACCT), "recordtype", "accountno") == [("act", "t3")]
+
+
+def test_rejects_say_why(day):
+    assert reasons(day[1]) == sorted(
+        [
+            ("", "|t2|y", "no_schema"),
+            ("ACT", "ACT|bad1||C1", "bad_header"),
+            ("ACT", "ACT|bad2||C1", "no_schema"),
+            ("HDR", f"HDR|{ACCT}|{DAY}093000", "no_schema"),
+            ("NOBODY", "NOBODY", "no_schema"),
+            ("ZZZ", "ZZZ|1", "no_schema"),
+            (PLACEMENT, "xx1|20240110101500| 10.5 |||", "width"),
+            (QUEUE, "3|a3|2024-01-11 10:15:00|x|y|", "width"),
+            (WORKFLOW, "short1|20240110101500", "width"),
+            (WORKFLOW, "short2|20240110101500", "width"),
+            (WORKFLOW, "wide1|20240110101500|S1|extra", "width"),
+            (WORKFLOW, "wide2|20240110101500|S2", "width"),
+        ],
+        key=str,
+    )
+    assert day[1].rejected == 12
+
+
+def test_counts(spark, day):
+    land, result, config = day
+    assert result.status == "ok" and result.held_back == 1
+    found = {
+        f"{path.parent.name}/{path.name}": spark.read.parquet(str(path)).count()
+        for path in Path(config.target).glob("*/*")
+    }
+    assert found == result.tables and sum(found.values()) == result.published
+    ledger = Ledger(spark, config.ledger)
+    assert rows(ledger.runs(), "status", "period", "record_count") == [
+        ("ok", "2024-01-15", result.published)
+    ]
+    assert ledger.files().count() == 20
 
 
-def test_bad_amounts(spark, landing):
-    landing.drop("P_20240115.pgp", PLACE, "a1|20240110101500|1|abc", "a2|20240110101500|2|3")
-    with pytest.raises(PySparkException, match="not a number: abc"):
-        load(spark, landing)
-    result = load(spark, landing, money_on_error="null")
-    got = rows(landing.table(spark, *PLACE_TABLE), "accountno", "balance")
-    assert got == [("a1", 0.0), ("a2", 3.0)]
-    assert reasons(result) == [("AcctPlacementFile", "a1|20240110101500|1|abc", "amount")]
+def test_body_naming_the_feed_is_dropped(spark, day):
+    assert of(day[0].table(spark, WORKFLOW), "n", "step") == [("n1", "S1")]
 
 
-def test_record_type_text_is_kept(spark, landing):
-    landing.drop("Act_20240115.pgp", PLAIN, "01|a1|x", "|a2|y", "ZZZ|1")
-    result = load(spark, landing)
-    table = landing.table(spark, "01", "AcctActReturnFile")
-    assert rows(table, "recordtype", "accountno", "code") == [("01", "a1", "x")]
-    assert reasons(result) == [("", "|a2|y", "no_schema"), ("ZZZ", "ZZZ|1", "no_schema")]
+def test_short_rows_are_padded_and_broken_groups_left_out(spark, day):
+    table = day[0].table(spark, WORKFLOW)
+    assert of(table, "p", "step") == [("p1", "S1"), ("p2", None)]
+    assert of(table, "short") == of(table, "wide") == []
 
 
-def test_bad_header_date(spark, landing):
-    landing.drop("Act_20240115.pgp", "AcctActReturnFile|x|2024-01", "ACT|a1||C1")
-    assert reasons(load(spark, landing)) == [("ACT", "ACT|a1||C1", "bad_header")]
+def test_literal_repair_before_splitting(spark, day):
+    table = day[0].table(spark, WORKFLOW)
+    assert of(table, "u", "step") == [("u2", "Shop , 店"), ("u@x.test", "S1")]
+    assert of(table, "v", "step") == [("v1", "Shop , S1")]
 
 
-def test_literal_repair_before_splitting(spark, landing):
-    pairs = [('"u|@x.test"', "u@x.test"), ("Shop | 店", "Shop , 店")]
-    header = "HDR|WorkflowReturnFile|20240115093000"
-    body = ('"u|@x.test"|20240110101500|S1', "a2|20240110101500|Shop | 店")
-    landing.drop("AccountPlacementImportFile_20240115.pgp", header, *body)
-    load(spark, landing, repairs=pairs)
-    table = landing.table(spark, "WorkflowReturnFile", "WorkflowReturnFile")
-    assert rows(table, "accountno", "step") == [("a2", "Shop , 店"), ("u@x.test", "S1")]
+def test_placement_takes_one_extra_field(spark, day):
+    table = day[0].table(spark, PLACEMENT)
+    assert of(table, "x", "creditline", "balance") == [("x1", 10.5, 0.0)]
 
 
-def test_repair_touches_only_the_import_file(spark, landing):
-    landing.drop("Work_20240115.pgp", WORK[0], "a1|20240110101500|S1")
-    load(spark, landing, repairs=[("S1", "S9")])
-    table = landing.table(spark, "WorkflowReturnFile", "WorkflowReturnFile")
-    assert rows(table, "step") == [("S1",)]
+def test_date_format_is_chosen_per_file(spark, day):
+    table = day[0].table(spark, PLACEMENT)
+    assert of(table, "d", "placementdate") == [("d1", SHORT), ("d2", None)]
+    assert of(table, "e", "placementdate") == [("e1", LONG), ("e2", None)]
 
 
-def test_line_ends_and_blank_lines(spark, landing):
-    landing.drop("Act_20240115.pgp", "", G1[0], "", *G1[1:3], "  ", G1[3], end="\r\n")
-    load(spark, landing)
-    assert rows(landing.table(spark, "ACT", "AcctActReturnFile"), *ACT_COLS) == ACT
+def test_queue(spark, day):
+    table = day[0].table(spark, QUEUE)
+    cols = ("recordtype", "queueid", "accountno", "opendate", "lastupdatedate", "note", "snap_dt")
+    assert table.columns == [*cols, "snap_day"]
+    assert rows(table, *cols) == [
+        (QUEUE, 1, "a1", SHORT, "2024-01-12", "ok", SNAP),
+        (QUEUE, 2, "a|2", LONG, None, None, SNAP),
+        (QUEUE, 4, None, None, None, None, SNAP),
+        (QUEUE, 5, None, SHORT, None, "ok", SNAP),
+        (QUEUE, 6, "a6", None, "x", None, SNAP),
+    ]
 
 
-def test_outer_spaces_can_be_trimmed(spark, landing):
-    landing.drop("Act_20240115.pgp", *(f"  {line}  " for line in G1))
-    load(spark, landing, trim_lines=True)
-    assert rows(landing.table(spark, "ACT", "AcctActReturnFile"), *ACT_COLS) == ACT
+def test_timestamps_are_int96(day):
+    (part, *_) = Path(day[2].target, "ACT", ACCT).rglob("*.parquet")
+    schema = pq.ParquetFile(part).schema
+    kinds = {schema.column(i).name: schema.column(i).physical_type for i in range(len(schema))}
+    assert kinds["snap_dt"] == kinds["actiondate"] == "INT96"
 
 
-QUEUE_TABLE = ("QueueExport", "QueueExport")
+# --- options -------------------------------------------------------------------------------
 
 
-def test_queue_long_dates(spark, landing):
-    landing.drop(
-        "QueueExport_20240115.pgp",
-        "1|a1|2024-01-10 00:00:00|2024-01-12|ok",
-        '2|"a|2"|2024-01-10 10:15:00||',
+def test_lenient_options(spark, landing):
+    landing.markers(DAY)
+    landing.drop("Work_20240115.pgp", WORK, "n1|20240110101500|S1", f"n2|20240110101500|{WORKFLOW}")
+    landing.drop("Trim_20240115.pgp", f"  {PLAIN} ", "  ACT|a1||C1  ")
+    landing.drop("P_20240115.pgp", PLACE, "d1|20240110|1|abc", "d2|20240111101500|2|3")
+    config = landing.config(
+        anchored_headers=True, trim_lines=True, date_scope="row", money_on_error="null"
     )
-    load(spark, landing)
-    table = landing.table(spark, *QUEUE_TABLE)
-    assert table.columns[0] == "recordtype"
-    assert rows(table, "recordtype", "queueid", "accountno", "opendate", "lastupdatedate", "note") == [
-        ("QueueExport", 1, "a1", SHORT, "2024-01-12", "ok"),
-        ("QueueExport", 2, "a|2", datetime(2024, 1, 10, 10, 15), None, None),
+    result = daily_load(spark, config)
+    assert of(landing.table(spark, WORKFLOW), "n", "step") == [("n1", "S1"), ("n2", WORKFLOW)]
+    assert of(landing.table(spark, "ACT", ACCT), "a", "actioncode") == [("a1", "C1")]
+    assert of(landing.table(spark, PLACEMENT), "d", "placementdate", "balance") == [
+        ("d1", SHORT, 0.0),
+        ("d2", LONG, 3.0),
     ]
+    assert reasons(result) == [(PLACEMENT, "d1|20240110|1|abc", "amount")]
 
 
-def test_queue_short_dates_and_null_tokens(spark, landing):
-    landing.drop("QueueExport_202401151.pgp", "1|NA|20240110|null|ok", "2|a2||x", "3|a3|NaN|x|")
-    load(spark, landing)
-    got = rows(landing.table(spark, *QUEUE_TABLE), "queueid", "accountno", "opendate", "note")
-    assert got == [(1, None, SHORT, "ok"), (2, "a2", None, None), (3, "a3", None, None)]
+def test_one_date_format_only(spark, landing):
+    landing.markers(DAY)
+    landing.drop("P_20240115.pgp", PLACE, "d1|20240110|1|1", "d2|20240111101500|2|3")
+    daily_load(spark, landing.config(date_rule="coerce"))
+    assert of(landing.table(spark, PLACEMENT), "d", "placementdate") == [("d1", None), ("d2", LONG)]
 
 
-def test_queue_mixed_dates_fail(spark, landing):
-    landing.drop("QueueExport_20240115.pgp", "1|a|20240110|x|y", "2|a|2024-01-10 00:00:00|x|y")
-    with pytest.raises(PySparkException, match="opendate: not a date"):
-        load(spark, landing)
+# --- failures ------------------------------------------------------------------------------
 
 
-def test_queue_files_choose_their_formats_separately(spark, landing):
-    landing.drop("QueueExport_20240115.pgp", "1|a|20240110|x|y")
-    landing.drop("QueueExport_B_20240115.pgp", "2|a|2024-01-11 10:15:00|x|y")
-    load(spark, landing)
-    got = rows(landing.table(spark, *QUEUE_TABLE), "queueid", "opendate")
-    assert got == [(1, SHORT), (2, LONG)]
+def failed_run(spark, config):
+    (run,) = Ledger(spark, config.ledger).runs().collect()
+    assert (run.status, run.period, run.record_count) == ("failed", "2024-01-15", None)
+    assert Ledger(spark, config.ledger).files().isEmpty()
+    return run.message
 
 
-def test_queue_long_rows_are_rejected(spark, landing):
-    landing.drop("QueueExport_20240115.pgp", "1|a|20240110|x|y", "2|a|20240110|x|y|")
-    result = load(spark, landing)
-    assert rows(landing.table(spark, *QUEUE_TABLE), "queueid") == [(1,)]
-    assert reasons(result) == [("QueueExport", "2|a|20240110|x|y|", "width")]
+@pytest.mark.parametrize(
+    ("name", "lines", "error", "message"),
+    [
+        ("Act_20240115.pgp", [PLAIN, "ZZZ|1"], RejectedRows, "1 lines"),
+        ("W_20240115.pgp", [WORK, "a1|20240110101500|S1|extra"], WidthError, WORKFLOW),
+        ("P_20240115.pgp", [PLACE, "a1||1|abc"], PySparkException, "not a number: abc"),
+        (
+            "QueueExport_20240115.pgp",
+            ["1|a|20240110|x|y", "2|a|2024-01-10 00:00:00|x|y"],
+            PySparkException,
+            "opendate: not a date",
+        ),
+    ],
+    ids=["unusable line", "width", "amount", "mixed queue dates"],
+)
+def test_nothing_is_tolerated(spark, landing, name, lines, error, message):
+    landing.markers(DAY)
+    landing.drop(name, *lines)
+    config = landing.config(fail_fast=True)
+    with pytest.raises(error, match=message):
+        daily_load(spark, config)
+    assert message in failed_run(spark, config)
 
 
 def test_incomplete_day(spark, landing):
-    landing.drop("Act_20240115.pgp", *G1)
+    landing.drop("Act_20240115.pgp", PLAIN, "ACT|a1||C1")
     landing.markers(DAY, 5)
     config = landing.config()
     with pytest.raises(IncompleteArrival):
         daily_load(spark, config)
-    (run,) = Ledger(spark, config.ledger).runs().collect()
-    assert (run.status, run.period, run.record_count) == ("failed", "2024-01-15", None)
+    assert "5 markers and 1 of 6 payloads" in failed_run(spark, config)
 
 
-def test_only_the_sync_day_is_published(spark, landing):
-    landing.drop("Act_20240115.pgp", *G1)
-    landing.drop("Late_20240115.pgp", "AcctActReturnFile|x|20240114", "ACT|a9||C9")
-    result = load(spark, landing)
-    assert result.held_back == 1
-    assert rows(landing.table(spark, "ACT", "AcctActReturnFile"), *ACT_COLS) == ACT
+# --- repeated runs -------------------------------------------------------------------------
 
 
-def test_days_are_replaced_one_by_one(spark, landing):
-    def run(day, *body):
-        landing.drop(f"Act_{day}.pgp", f"AcctActReturnFile|x|{day}", *body)
+def test_days_are_replaced_whole_and_one_by_one(spark, landing):
+    def run(day, name, *body):
+        landing.drop(f"{name}_{day}.pgp", f"{ACCT}|x|{day}", *body)
         landing.markers(day)
         return daily_load(spark, landing.config(day))
 
-    run("20240115", "ACT|a1||C1", "ACT|a2||C2")
-    run("20240116", "ACT|b1||C1")
-    assert run("20240116", "ACT|b1||C1").status in ("ok", "nothing_pending")
-    run("20240115", "ACT|a3||C3333")
-    table = landing.table(spark, "ACT", "AcctActReturnFile")
-    got = rows(table, F.date_format("snap_dt", "yyyyMMdd"), "accountno")
-    assert got == [("20240115", "a3"), ("20240116", "b1")]
-
-
-def test_second_run_has_nothing_to_do(spark, landing):
-    landing.drop("Act_20240115.pgp", *G1)
-    config = landing.config()
-    assert load(spark, landing).published == 3
-    again = daily_load(spark, config)
+    def published():
+        table = landing.table(spark, "ACT", ACCT)
+        return rows(table, F.date_format("snap_dt", "yyyyMMdd"), "accountno")
+
+    run("20240115", "Act", "ACT|a1||C1", "ACT|a2||C2")
+    run("20240116", "Act", "ACT|b1||C1")
+    # a changed file replaces its day, another day stays
+    run("20240115", "Act", "ACT|a3||C3333")
+    assert published() == [("20240115", "a3"), ("20240116", "b1")]
+    # a late file brings in the other files of its day again
+    run("20240115", "Late", "ACT|a4||C4")
+    assert published() == [("20240115", "a3"), ("20240115", "a4"), ("20240116", "b1")]
+    again = daily_load(spark, landing.config("20240115"))
     assert (again.status, again.published) == ("nothing_pending", 0)
-    runs = Ledger(spark, config.ledger).runs()
-    assert rows(runs, "status", "record_count") == [("ok", 0), ("ok", 3)]
-
-
-def test_late_file_does_not_drop_the_days_other_rows(spark, landing):
-    landing.drop("Act_20240115.pgp", *G1)
-    load(spark, landing)
-    landing.drop("Act_B_20240115.pgp", PLAIN, "ACT|a3||C3")
-    load(spark, landing)
-    got = rows(landing.table(spark, "ACT", "AcctActReturnFile"), "accountno")
-    assert got == [("a1",), ("a2",), ("a3",)]
-    assert landing.table(spark, "NOT", "AcctActReturnFile").count() == 1
-
-
-def test_timestamps_are_int96(spark, landing):
-    import pyarrow.parquet as pq
-
-    landing.drop("Act_20240115.pgp", *G1)
-    config = landing.config()
-    load(spark, landing)
-    from pathlib import Path
-
-    (part, *_) = Path(config.target, "ACT", "AcctActReturnFile").rglob("*.parquet")
-    schema = pq.ParquetFile(part).schema
-    kinds = {schema.column(i).name: schema.column(i).physical_type for i in range(len(schema))}
-    assert kinds["snap_dt"] == kinds["actiondate"] == "INT96"
 
 
 def test_split_files_give_the_same_tables(spark, landing, tmp_path):
     body = [f"ACT|a{i}|202401{i % 28 + 1:02d}101500|C{i}" for i in range(20_000)]
     landing.drop("Act_20240115.pgp", PLAIN, *body)
+    landing.markers(DAY)
 
     def table(label):
         config = landing.config(target=str(tmp_path / label), ledger=str(tmp_path / f"{label}-runs"))
         assert daily_load(spark, config).published == 20_000
-        return spark.read.parquet(f"{config.target}/ACT/AcctActReturnFile")
+        return spark.read.parquet(f"{config.target}/ACT/{ACCT}")
 
-    landing.markers(DAY)
     whole = table("whole")
     spark.conf.set("spark.sql.files.maxPartitionBytes", str(64 << 10))
     try:
