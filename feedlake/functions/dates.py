@@ -7,6 +7,19 @@ from collections.abc import Iterable
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from feedlake.constants import LONG_FORMAT, STAMP_FORMAT
+
+_MONTH = "(?:0[1-9]|1[0-2])"
+_DAY = "(?:0[1-9]|1[0-9]|2[0-8])"
+_CLOCK = ("(?:[01][0-9]|2[0-3])", "[0-5][0-9]", "[0-5][0-9]")
+
+# Texts of these shapes are dates whatever the month. A check that only asks
+# whether a text is a date need not run the much slower datetime parser on them.
+_CERTAIN = {
+    STAMP_FORMAT: rf"^[12][0-9]{{3}}{_MONTH}{_DAY}{''.join(_CLOCK)}\z",
+    LONG_FORMAT: rf"^[12][0-9]{{3}}-{_MONTH}-{_DAY} {':'.join(_CLOCK)}\z",
+}
+
 
 def date_columns(names: Iterable[str]) -> list[str]:
     """Names that hold dates: they contain ``date`` but not ``update``."""
@@ -36,7 +49,10 @@ def parse_date_strict(text: Column, pattern: str, label: str) -> Column:
 
 def parses(text: Column, pattern: str) -> Column:
     """True where ``text`` is missing, empty or a date under ``pattern``."""
-    return text.isNull() | (text == "") | parse_date(text, pattern).isNotNull()
+    fits = (F.length(text) == len(pattern)) & F.try_to_timestamp(text, F.lit(pattern)).isNotNull()
+    if pattern in _CERTAIN:
+        fits = text.rlike(_CERTAIN[pattern]) | fits
+    return F.coalesce((text == "") | fits, F.lit(True))
 
 
 def iso_day(day: Column) -> Column:

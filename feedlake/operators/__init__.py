@@ -4,6 +4,7 @@ from feedlake.operators.arrivals import arrival_counts, completeness, mark_fresh
 from feedlake.operators.envelope import (
     attach_header,
     demux,
+    feed_details,
     feed_header,
     first_lines,
     is_single_type,
@@ -40,6 +41,7 @@ __all__ = [
     "completeness",
     "date_choice",
     "demux",
+    "feed_details",
     "feed_header",
     "first_lines",
     "format_ok",

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from feedlake.constants import DAY_FORMAT, HDR, SINGLE_TYPE_FEEDS
+from feedlake.constants import DAY_FORMAT, FEED_PREFIXES, HDR, SINGLE_TYPE_FEEDS
 from feedlake.functions.dates import parse_date
 from feedlake.functions.names import name_date
 from feedlake.functions.text import first_field, rest_of_line
@@ -96,21 +98,34 @@ def strip_header_type(df: DataFrame) -> DataFrame:
     return df.where(F.col("recordtype") != F.col("feed"))
 
 
+def feed_details(headers: DataFrame, prefixes: Mapping[str, str] = FEED_PREFIXES) -> DataFrame:
+    """Add what else the feed's name tells: ``prefix`` of its registry keys and ``lead``.
+
+    ``lead`` is the number of fields of a line before the body: none in a
+    single-type feed, the record type in others. Worked out once per file, so
+    that nothing of it is left to do per line.
+    """
+    known = F.create_map(*(F.lit(text) for pair in prefixes.items() for text in pair))
+    return headers.select(
+        "file",
+        "feed",
+        "snap_dt",
+        F.try_element_at(known, F.col("feed")).alias("prefix"),
+        F.when(is_single_type(F.col("feed")), 0).otherwise(1).alias("lead"),
+    )
+
+
 def tag_lines(df: DataFrame, anchored: bool = False) -> DataFrame:
     """Record types of the lines of feeds of both kinds, without their headers, in one pass.
 
     Same rows and record types as ``tag_single`` + ``strip_header_contains``
-    for single-type feeds and ``tag_multi`` + ``strip_header_type`` for others.
-    The line stays whole; ``lead`` is the number of its fields that come before
-    the body.
+    for single-type feeds and ``tag_multi`` + ``strip_header_type`` for others
+    (see ``feed_details`` for ``lead``). The line stays whole.
     """
-    value, feed = F.col("value"), F.col("feed")
-    single = is_single_type(feed)
-    recordtype = F.when(single, feed).otherwise(first_field(value))
+    single, feed = F.col("lead") == 0, F.col("feed")
+    recordtype = F.when(single, feed).otherwise(first_field(F.col("value")))
     header = F.when(single, _names_feed(anchored)).otherwise(recordtype == feed)
-    return df.where(~header).withColumns(
-        {"recordtype": recordtype, "lead": F.when(single, 0).otherwise(1)}
-    )
+    return df.where(~header).withColumn("recordtype", recordtype)
 
 
 def record_types(df: DataFrame) -> DataFrame:

@@ -41,6 +41,7 @@ from feedlake.functions.text import fields, repair_literals
 from feedlake.operators.arrivals import completeness, mark_fresh
 from feedlake.operators.envelope import (
     attach_header,
+    feed_details,
     feed_header,
     first_lines,
     prepend_literal,
@@ -66,7 +67,6 @@ from feedlake.sources.registry import (
     load_registry,
     prune_schema,
     registry_entries,
-    registry_key,
     split_types,
 )
 from feedlake.sources.scan import (
@@ -165,22 +165,25 @@ def check_arrival(spark: SparkSession, cfg: LoadConfig) -> tuple[DataFrame, str]
 _SCAN_BYTES = 256 << 20
 
 
-def read_headers(spark: SparkSession, files: DataFrame, trim: bool = False) -> DataFrame:
-    """Header of every non-empty file of ``files``, as a written table.
+def read_headers(spark: SparkSession, files: DataFrame, cfg: LoadConfig) -> DataFrame:
+    """Header and feed details of every non-empty file of ``files``, as a written table.
 
     Files whose header the early-stopping read did not give (it counts on one
     file per partition) are looked up by scanning them.
     """
 
+    def described(firsts: DataFrame) -> DataFrame:
+        return feed_details(feed_header(firsts), cfg.prefixes)
+
     def scanned(paths: list[str]) -> DataFrame:
-        return feed_header(first_lines(scan_lines(spark, paths, trim)))
+        return described(first_lines(scan_lines(spark, paths, cfg.trim_lines)))
 
     filled = files.where("length > 0")
     size = filled.agg(F.count("*").alias("files"), F.sum("length").alias("bytes")).first()
     paths = _paths(filled)
     if not paths or size["bytes"] <= _SCAN_BYTES:
         return written(scanned(paths))
-    headers = written(feed_header(sniff_first_lines(spark, paths, trim)))
+    headers = written(described(sniff_first_lines(spark, paths, cfg.trim_lines)))
     if headers.count() == size["files"]:
         return headers
     missing = _paths(filled.join(headers, files.path == headers.file, "left_anti"))
@@ -249,9 +252,7 @@ def bronze_lines(
         ],
         "key string, expected int" + "".join(f", _date_{n} int" for n in slots),
     )
-    keyed = tagged.withColumn(
-        "_key", registry_key(F.col("feed"), F.col("recordtype"), cfg.prefixes)
-    )
+    keyed = tagged.withColumn("_key", F.concat("prefix", F.lower("recordtype")))
     known = keyed.join(table, keyed["_key"] == table["key"], "left")
     reason = (
         F.when(F.col("snap_dt").isNull(), "bad_header")
@@ -544,7 +545,7 @@ def _load_feeds(
     cfg: LoadConfig,
     totals: _Totals,
 ) -> None:
-    headers = read_headers(spark, files, cfg.trim_lines)
+    headers = read_headers(spark, files, cfg)
     if not all_fresh:
         headers = _whole_days(headers, files.where("fresh"))
     paths = _paths(headers.withColumnRenamed("file", "path"))
