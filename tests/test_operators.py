@@ -221,3 +221,33 @@ def test_large_lookup_tables_are_not_broadcast_blindly(spark):
 
 def test_shared_folder_is_the_one_of_the_session(spark):
     assert shared_folder(spark) == spark.conf.get("spark.checkpoint.dir")
+
+
+def test_later_passes_read_only_what_they_need(spark, landing):
+    line = "ACT|a1|20240110101500|C1"
+    landing.drop("A_20240115.pgp", "AcctActReturnFile|x|20240115", line, "NOT|a1|20240111120000|hi")
+    landing.drop("B_20240115.pgp", "AcctActReturnFile|x|20240115", line)
+    config = landing.config()
+    folder = str(landing.root / "first")
+    headers = written(feed_details(feed_header(first_lines(scan_lines(spark, folder)))))
+    schemas = {
+        k: ingest.RecordSchema.of(k, v, config.exclude_columns) for k, v in GOLDEN_REGISTRY.items()
+    }
+    work = landing.root / "work"
+    lines = ingest.bronze_lines(spark, [folder], headers, schemas, config)
+    bronze = ingest.write_bronze(lines, str(work / "bronze"))
+    verdicts = ingest.judge_bronze(bronze, str(work / "verdicts"))
+    tables = {t.recordtype: t for t in ingest.plan_day(verdicts, schemas, config).tables}
+    assert tables["ACT"].first_fits == {"actiondate": True}
+
+    def plan(df):
+        return df._jdf.queryExecution().executedPlan().toString()
+
+    table = ingest.typed_table(bronze, verdicts, tables["ACT"], config)
+    assert table.count() == 2
+    text = plan(table)
+    # one pruned folder, no join, no shuffle, and the fallback format is not even planned
+    assert "part_type" in text.split("PartitionFilters:")[1].split("]")[0]
+    assert "Join" not in text and "Exchange" not in text and "yyyyMMdd," not in text
+    narrow = bronze.groupBy("file").agg(F.max("width"), F.bit_or("unfit_0"))
+    assert "line:string" not in plan(narrow)
