@@ -13,14 +13,14 @@ from __future__ import annotations
 
 import logging
 import uuid
-from collections.abc import Mapping, Sequence
+from collections.abc import Collection, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field, replace
 from datetime import datetime, timezone
 from functools import reduce
 
 from pyspark import inheritable_thread_target
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from feedlake.constants import (
@@ -401,9 +401,17 @@ def _of_table(plan: TablePlan, cfg: LoadConfig) -> Column:
 
 
 def typed_table(
-    bronze: DataFrame, verdicts: DataFrame, plan: TablePlan, cfg: LoadConfig
+    bronze: DataFrame,
+    verdicts: DataFrame,
+    plan: TablePlan,
+    cfg: LoadConfig,
+    amounts: Observation | None = None,
 ) -> DataFrame:
-    """Unpacked and typed rows of one record type; bronze is read in its folder only."""
+    """Unpacked and typed rows of one record type; bronze is read in its folder only.
+
+    ``amounts`` counts, while the rows are written, those with an amount that
+    is no number (``bad``).
+    """
     rows = bronze.where(_of_table(plan, cfg))
     files = verdicts.where(_of_table(plan, cfg))
     if plan.bad_rows:
@@ -432,19 +440,26 @@ def typed_table(
             typed[name] = date_choice(F.col(name), fits, RECORD_DATE_FORMATS, name, "coerce")
         out = out.withColumns(typed)
     if plan.feed == PLACEMENT_FEED:
-        out = parse_doubles(out, money_columns(names), cfg.money_on_error)
+        money = money_columns(names)
+        if amounts is not None:
+            out = out.observe(amounts, F.count_if(F.size(bad_amounts(money)) > 0).alias("bad"))
+        out = parse_doubles(out, money, cfg.money_on_error)
     # snap_dt goes last, after the registered columns
     lead = [c for c in out.columns if c in ("recordtype", *names)]
     return out.select(*lead, "snap_dt")
 
 
 def rejected_lines(
-    bronze: DataFrame, verdicts: DataFrame, plans: Sequence[TablePlan], cfg: LoadConfig
+    bronze: DataFrame,
+    verdicts: DataFrame,
+    plans: Sequence[TablePlan],
+    cfg: LoadConfig,
+    noted: Collection[TablePlan] = (),
 ) -> DataFrame:
     """Rejects as ``(file, recordtype, line, reason)``.
 
     Lines without a usable header or schema, lines of groups of a wrong width,
-    and, as notes, lines with an amount that was read as 0.0.
+    and, as notes, the lines of ``noted`` with an amount that was read as 0.0.
     """
 
     def reject(rows: DataFrame, reason: Column) -> DataFrame:
@@ -457,13 +472,13 @@ def rejected_lines(
         if plan.bad_rows:
             bad = files.where(~F.col("fits")).select("file")
             out = out.unionByName(reject(rows.join(bad, "file", "left_semi"), F.lit("width")))
-        amounts = money_columns(plan.schema.names)
-        if plan.feed == PLACEMENT_FEED and amounts and cfg.money_on_error == "null":
+        if plan in noted:
             if plan.bad_rows:
                 rows = rows.join(files.where("fits").select("file"), "file", "left_semi")
             whole = rows.select("file", "recordtype", "line", F.col("line").alias("_text"))
             unpacked = unpack(whole, plan.schema.names, text="_text", lead=plan.lead)
-            notes = unpacked.where(F.size(bad_amounts(amounts)) > 0)
+            bad = bad_amounts(money_columns(plan.schema.names))
+            notes = unpacked.where(F.size(bad) > 0)
             out = out.unionByName(reject(notes, F.lit("amount")))
     return out
 
@@ -564,9 +579,15 @@ def _load_feeds(
     if cfg.fail_fast and day.unusable:
         raise RejectedRows(f"{day.unusable} lines without a usable header or schema")
 
+    noted = []
+
     def load_table(plan: TablePlan) -> tuple[str, int]:
-        table = typed_table(bronze, verdicts, plan, cfg)
+        lenient = plan.feed == PLACEMENT_FEED and cfg.money_on_error == "null"
+        amounts = Observation() if lenient and money_columns(plan.schema.names) else None
+        table = typed_table(bronze, verdicts, plan, cfg, amounts)
         done = publish(table, cfg.target, cfg.syncday, plan.feed, plan.recordtype)
+        if amounts is not None and amounts.get["bad"]:
+            noted.append(plan)
         return f"{plan.recordtype}/{plan.feed}", done["published"]
 
     # The tables are independent; a few at a time keep the executors busy
@@ -575,9 +596,8 @@ def _load_feeds(
     with ThreadPoolExecutor(max_workers=max(1, cfg.parallel_tables)) as pool:
         work = inheritable_thread_target(spark)(load_table)
         totals.tables.update(pool.map(work, ready))
-    noted = cfg.money_on_error == "null" and any(p.feed == PLACEMENT_FEED for p in ready)
     if day.unusable or day.bad_rows or noted:
-        totals.rejects.append(rejected_lines(bronze, verdicts, day.tables, cfg))
+        totals.rejects.append(rejected_lines(bronze, verdicts, day.tables, cfg, noted))
 
 
 def _load_queue(

@@ -312,3 +312,10 @@ def test_split_files_give_the_same_tables(spark, landing, tmp_path):
     finally:
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
     assert whole.exceptAll(split).isEmpty() and split.exceptAll(whole).isEmpty()
+
+
+def test_lenient_load_of_clean_amounts_has_no_rejects(spark, landing):
+    landing.markers(DAY)
+    landing.drop("P_20240115.pgp", PLACE, "d1|20240110101500|1|", "d2|20240111101500|2|3")
+    result = daily_load(spark, landing.config(money_on_error="null"))
+    assert (result.published, result.rejected, result.rejects) == (2, 0, None)
