@@ -5,12 +5,26 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_bpe, mixture, token_counts
-from .common import count_words, documents
+from . import byte_bpe, language_id, mixture, token_counts, toxicity
+from .common import count_words, documents, id_remainder
 
 TOKEN_LIMIT = 4096
 
 
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    rest = id_remainder(F.col("doc_id"), 5)
+    model = language_id.fit_languages(docs, rest != 0)
+    found = language_id.identify_languages(docs.select("doc_id", "text"), model)
+    return found.select(
+        "doc_id",
+        F.coalesce(rest == 0, F.lit(False)).alias("held_out"),
+        F.col("language.lang").alias("lang_pred"),
+        F.col("language.score").alias("score"),
+        F.col("language.ambiguous").alias("ambiguous"),
+    )
+
+
 def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir).select("doc_id", "text")
     counted = token_counts.count_tokens(docs)
@@ -33,11 +47,25 @@ def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    rest = id_remainder(F.col("doc_id"), 4)
+    model = toxicity.fit_toxicity(docs, labels, rest != 2)
+    scored = toxicity.score_toxicity(docs.select("doc_id", "text"), model, out="score")
+    return scored.select(
+        "doc_id",
+        F.coalesce(rest == 2, F.lit(False)).alias("held_out"),
+        "score",
+        (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"),
+    )
+
+
 def op7_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
     mixed = mixture.mix(docs, count_words(F.col("text")))
     return mixed.select("doc_id", "size", "source_size", "target", "taken", "source", "copies")
 
 
-QUERIES = {f.__name__: f for f in (op3_token_counts, op4_byte_bpe, op7_mixture)}
+QUERIES = {f.__name__: f for f in (op1_language_id, op3_token_counts, op4_byte_bpe, op5_toxicity, op7_mixture)}
 ORACLES: dict[str, str] = {}
