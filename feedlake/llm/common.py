@@ -40,5 +40,12 @@ def free_name(df: DataFrame, wanted: str) -> str:
 
 
 def smallest_by_hash(df: DataFrame, key: str, limit: int) -> DataFrame:
-    """A repeatable sample of at most ``limit`` rows: those with the smallest hash of ``key``."""
-    return df.orderBy(F.xxhash64(F.lit("sample"), F.col(key)), F.col(key)).limit(limit)
+    """A repeatable sample of at most ``limit`` rows: those with the smallest hash of ``key``.
+
+    Only rows whose hash is small for so many rows are sorted, some three times ``limit``.
+    """
+    place = F.pmod(F.xxhash64(F.lit("sample"), F.col(key)), F.lit(1 << 40))
+    rows = df.count()
+    if rows > 3 * limit:
+        df = df.where(place < int((1 << 40) * 3 * limit / rows))
+    return df.orderBy(place, F.col(key)).limit(limit)
