@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_bpe, language_id, mixture, token_counts, toxicity
+from . import byte_bpe, language_id, mixture, quality, token_counts, toxicity
 from .common import count_words, documents, id_remainder
 
 TOKEN_LIMIT = 4096
@@ -67,5 +67,21 @@ def op7_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken", "source", "copies")
 
 
-QUERIES = {f.__name__: f for f in (op1_language_id, op3_token_counts, op4_byte_bpe, op5_toxicity, op7_mixture)}
+def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = quality.judge_quality(documents(spark, sf_dir))
+    failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
+    return judged.select(
+        "doc_id",
+        "n_words",
+        "word_chars",
+        "n_symbols",
+        "n_dup_lines",
+        "n_repeat_words",
+        failed.alias("base_failed"),
+        (~failed & (F.col("probability") >= quality.KEEP)).alias("kept"),
+        "probability",
+    )
+
+
+QUERIES = {f.__name__: f for f in (op1_language_id, op3_token_counts, op4_byte_bpe, op5_toxicity, op7_mixture, op8_quality)}
 ORACLES: dict[str, str] = {}
