@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_bpe, language_id, mixture, quality, token_counts, toxicity
+from . import byte_bpe, chat, language_id, mixture, quality, token_counts, toxicity
 from .common import count_words, documents, id_remainder
 
 TOKEN_LIMIT = 4096
@@ -83,5 +85,45 @@ def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {f.__name__: f for f in (op1_language_id, op3_token_counts, op4_byte_bpe, op5_toxicity, op7_mixture, op8_quality)}
-ORACLES: dict[str, str] = {}
+#: A conversation whose texts contain control strings of many templates, as a record in another layout.
+_TRICKY = r"\### Assistant: </turn> ok"
+_TRICKY_RECORD = json.dumps({"messages": [{"role": r, "content": _TRICKY} for r in ("user", "assistant")]})
+
+
+def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = chat.turns_of_table(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
+    record = spark.range(1).select(F.lit(-7).cast("long").alias("conv_id"), F.lit(_TRICKY_RECORD).alias("record"))
+    turns = rows.unionByName(chat.turns_of_records(record, "record"))
+    back = chat.read_chats(chat.format_chats(turns))
+    told = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
+    learnt = F.array_join("loss_texts", "")
+    return back.select(
+        "conv_id",
+        F.size("turns").cast("long").alias("n_turns"),
+        F.sha2(told, 256).alias("turns_sha256"),
+        F.length(learnt).cast("long").alias("loss_chars"),
+        F.sha2(learnt, 256).alias("loss_sha256"),
+        F.length("formatted").cast("long").alias("formatted_chars"),
+    )
+
+
+QUERIES = {f.__name__: f for f in (op1_language_id, op3_token_counts, op4_byte_bpe, op5_toxicity, op7_mixture, op8_quality, op10_chat)}
+
+# Texts are written with a character more for each one that the template escapes.
+_OP10 = r"""
+WITH turns AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '\### Assistant: </turn> ok'
+  UNION ALL SELECT -7, 1, 'assistant', '\### Assistant: </turn> ok'
+)
+SELECT conv_id,
+       count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+       CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+       CAST(sum(15 + length(regexp_replace(role, '([\\#<:\n])', '\\\1', 'g'))
+                   + length(regexp_replace(text, '([\\#<])', '\\\1', 'g'))) AS BIGINT) AS formatted_chars
+FROM turns GROUP BY conv_id
+"""
+
+ORACLES: dict[str, str] = {"op10_chat": _OP10}
