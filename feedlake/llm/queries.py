@@ -7,7 +7,7 @@ import json
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_bpe, chat, language_id, mixture, quality, token_counts, toxicity
+from . import byte_bpe, chat, language_id, minhash, mixture, quality, token_counts, toxicity
 from .common import count_words, documents, id_remainder
 
 TOKEN_LIMIT = 4096
@@ -85,6 +85,10 @@ def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(documents(spark, sf_dir), size=2, limit=0.8)
+
+
 #: A conversation whose texts contain control strings of many templates, as a record in another layout.
 _TRICKY = r"\### Assistant: </turn> ok"
 _TRICKY_RECORD = json.dumps({"messages": [{"role": r, "content": _TRICKY} for r in ("user", "assistant")]})
@@ -107,7 +111,7 @@ def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {f.__name__: f for f in (op1_language_id, op3_token_counts, op4_byte_bpe, op5_toxicity, op7_mixture, op8_quality, op10_chat)}
+QUERIES = {f.__name__: f for f in (op1_language_id, op3_token_counts, op4_byte_bpe, op5_toxicity, op7_mixture, op8_quality, op9_minhash, op10_chat)}
 
 # Texts are written with a character more for each one that the template escapes.
 _OP10 = r"""
