@@ -7,7 +7,7 @@ import json
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_bpe, chat, language_id, minhash, mixture, quality, token_counts, toxicity
+from . import byte_bpe, chat, language_id, minhash, mixture, quality, spotsigs, token_counts, toxicity
 from .common import count_words, documents, id_remainder
 
 TOKEN_LIMIT = 4096
@@ -27,6 +27,20 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = spotsigs.fingerprints_with_next(documents(spark, sf_dir))
+    own, other = F.col("signatures"), F.col("edited_signatures")
+    return found.select(
+        "doc_id",
+        F.col("n_chars").cast("long").alias("n_chars"),
+        F.sha2("edited", 256).alias("edited_sha256"),
+        spotsigs.fingerprint(own).alias("fingerprint"),
+        spotsigs.fingerprint(other).alias("edited_fingerprint"),
+        spotsigs.likeness(own, other).alias("near_edited"),
+        spotsigs.likeness(own, F.col("next_signatures")).alias("near_next"),
+    )
+
+
 def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir).select("doc_id", "text")
     counted = token_counts.count_tokens(docs)
@@ -111,7 +125,7 @@ def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {f.__name__: f for f in (op1_language_id, op3_token_counts, op4_byte_bpe, op5_toxicity, op7_mixture, op8_quality, op9_minhash, op10_chat)}
+QUERIES = {f.__name__: f for f in (op1_language_id, op2_fingerprints, op3_token_counts, op4_byte_bpe, op5_toxicity, op7_mixture, op8_quality, op9_minhash, op10_chat)}
 
 # Texts are written with a character more for each one that the template escapes.
 _OP10 = r"""
