@@ -7,7 +7,7 @@ import json
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_bpe, chat, language_id, minhash, mixture, quality, spotsigs, token_counts, toxicity
+from . import byte_bpe, chat, language_id, minhash, mixture, quality, spotsigs, surrogates, token_counts, toxicity
 from .common import count_words, documents, id_remainder
 
 TOKEN_LIMIT = 4096
@@ -77,6 +77,18 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+#: The key of the registered query; a deployment passes a secret of its own.
+SURROGATE_KEY = "registered-query"
+
+
+def op6_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    replaced = surrogates.replace_entities(docs, SURROGATE_KEY, found_col="entities")
+    return replaced.select(
+        "doc_id", "text", F.size("entities").cast("long").alias("n_entities"), F.transform("entities", lambda e: e["kind"]).alias("kinds")
+    )
+
+
 def op7_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
     mixed = mixture.mix(docs, count_words(F.col("text")))
@@ -125,7 +137,7 @@ def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {f.__name__: f for f in (op1_language_id, op2_fingerprints, op3_token_counts, op4_byte_bpe, op5_toxicity, op7_mixture, op8_quality, op9_minhash, op10_chat)}
+QUERIES = {f.__name__: f for f in (op1_language_id, op2_fingerprints, op3_token_counts, op4_byte_bpe, op5_toxicity, op6_surrogates, op7_mixture, op8_quality, op9_minhash, op10_chat)}
 
 # Texts are written with a character more for each one that the template escapes.
 _OP10 = r"""
