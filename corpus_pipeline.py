@@ -5,20 +5,78 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
-from feedlake.llm import byte_bpe
-from feedlake.llm.common import documents
+from feedlake.llm import byte_bpe, minhash, mixture, surrogates, toxicity
+from feedlake.llm.common import count_words, documents, free_name, id_remainder
 from feedlake.plans.handoff import written
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
+#: Words of a shingle and similarity of near duplicates.
+SHINGLE = 5
+SIMILARITY = 0.8
+#: The key of the surrogates; a deployment puts a secret of its own here.
+KEY = "corpus-pipeline"
+
+
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier does not predict toxic; null and empty texts stay.
+
+    The classifier learns from the labels of three quarters of the ids.
+    """
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    model = toxicity.fit_toxicity(docs, labels, id_remainder(F.col("doc_id"), 4) != 2)
+    score = free_name(docs, "__score")
+    scored = toxicity.score_toxicity(docs, model, out=score)
+    return scored.where(F.col(score) < toxicity.THRESHOLD).select(*docs.columns)
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near duplicates, the one with the smallest id.
+
+    Of rows that share an id one stays, the one whose text is smallest. Empty
+    texts and rows without id are no duplicates of anything.
+    """
+    found = written(minhash.near_duplicates(docs, size=SHINGLE, limit=SIMILARITY))
+    gone = free_name(docs, "__gone")
+    dropped = written(found.where("NOT kept").select(F.col("doc_id").alias(gone)).distinct())
+    kept = docs.join(dropped, F.col("doc_id") == F.col(gone), "left_anti")
+    repeated = found.where("kept AND doc_id IS NOT NULL").groupBy(F.col("doc_id").alias(gone)).agg(F.count("*").alias("n"))
+    repeated = written(repeated.where("n > 1").select(gone))
+    if not repeated.limit(1).count():
+        return kept
+    same_id = F.col("doc_id") == F.col(gone)
+    place = free_name(docs, "__place")
+    first = Window.partitionBy("doc_id").orderBy("text")
+    one = kept.join(repeated, same_id, "left_semi").withColumn(place, F.row_number().over(first)).where(F.col(place) == 1)
+    return kept.join(repeated, same_id, "left_anti").unionByName(one.drop(place))
+
+
+def replace_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents with surrogates for personal data, and their new lengths."""
+    return surrogates.replace_entities(docs, KEY).withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents as often as the mix takes them, 0 to 3 times each, by words."""
+    return mixture.mixed_documents(docs, count_words(F.col("text")))
+
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every kept document with its token ids and their number."""
-    return byte_bpe.encode_texts(docs)
+    """All documents with their token ids, how many, and whether decoding gives the text back."""
+    decoded = free_name(docs, "__decoded")
+    both = byte_bpe.decode_ids(byte_bpe.encode_texts(docs, out="ids"), ids_col="ids", out=decoded)
+    same = F.col(decoded) == F.coalesce(F.col("text"), F.lit("")).cast("binary")
+    return both.withColumn("n_tokens", F.size("ids").cast("long")).withColumn("round_trip", same).drop(decoded)
 
 
 STAGES: list[tuple[str, Stage]] = [
+    ("toxicity", drop_toxic),
+    ("near_duplicates", drop_near_duplicates),
+    ("personal_data", replace_personal_data),
+    ("mixture", mix_sources),
     ("byte_bpe", encode),
 ]
 
@@ -27,6 +85,7 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages on ``documents``; each result is written and read again."""
     docs = documents(spark, sf_dir)
     for k, (_, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)

@@ -63,7 +63,7 @@ def source_targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, max_rep
     return table.select("source", "source_size", share.alias("target"))
 
 
-def mix(
+def fit_mix(
     df: DataFrame,
     size: Column,
     id_col: str = "doc_id",
@@ -72,15 +72,11 @@ def mix(
     weights: tuple[int, ...] = WEIGHTS,
     max_repeats: int = MAX_REPEATS,
     seed: str = "mix",
-) -> DataFrame:
-    """One row per row of ``df``: ``doc_id, source, size, source_size, target, copies, taken``.
+) -> tuple[DataFrame, DataFrame]:
+    """The narrow table ``doc_id, source, size, h`` and, per source, ``source_size, target, epochs, limit``.
 
-    ``copies`` is how often the mix takes the document and ``taken`` its size
-    times that. Each source's taken sizes are as near to its target as whole
-    documents in hash order allow. Null sizes are 0, a null source is a source
-    of its own, a source of size 0 has target 0 and is not taken. Rows with the
-    same id are decided alike, without an id rows of the same text. An
-    empty table gives no rows. Other columns of ``df`` are not used.
+    The mix takes a document of the source ``epochs`` times, and once more if its
+    hash ``h`` lies under ``limit``.
     """
     narrow = written(
         df.select(
@@ -98,24 +94,20 @@ def mix(
             "prefix": F.lit(0).cast("long"),
         }
     )
-    state = state.withColumn("rest", F.col("target") - F.col("epochs") * F.col("source_size"))
-    state = written(state)
+    state = written(state.withColumn("rest", F.col("target") - F.col("epochs") * F.col("source_size")))
     for level in range(1, LEVELS + 1):
         shift = BITS * (LEVELS - level)
-        key = state.select(F.col("source").alias("s"), "prefix", "rest")
         rows = narrow
         if level > 1:  # before, every row is in the one bucket there is
+            key = state.select(F.col("source").alias("s"), "prefix")
             rows = narrow.join(key, narrow.source.eqNullSafe(key.s))
             rows = rows.where(F.shiftright("h", shift + BITS) == F.col("prefix"))
         histogram = rows.groupBy("source", F.shiftright("h", shift).alias("bucket")).agg(F.sum("size").alias("tokens"))
         running = Window.partitionBy("source").orderBy("bucket")
-        sums = histogram.withColumn("upto", F.sum("tokens").over(running))
-        sums = sums.withColumnRenamed("source", "s")
-        passed = sums.join(state, F.col("s").eqNullSafe(F.col("source")))
+        sums = histogram.withColumn("upto", F.sum("tokens").over(running)).withColumnRenamed("source", "s")
         # the boundary: the first bucket whose running sum reaches the rest
-        passed = passed.where(F.col("upto") >= F.col("rest")).groupBy("s").agg(
-            F.min(F.struct("bucket", "tokens", "upto")).alias("b")
-        )
+        passed = sums.join(state, F.col("s").eqNullSafe(F.col("source"))).where(F.col("upto") >= F.col("rest"))
+        passed = passed.groupBy("s").agg(F.min(F.struct("bucket", "tokens", "upto")).alias("b"))
         state = written(
             state.join(passed, F.col("source").eqNullSafe(F.col("s")), "left")
             .withColumn("rest", F.coalesce(F.col("rest") - (F.col("b.upto") - F.col("b.tokens")), F.lit(0.0)))
@@ -125,10 +117,53 @@ def mix(
         )
     # documents on the threshold itself come in if that is nearer to the target
     limit = F.col("prefix") + F.when(2 * F.col("rest") >= F.col("edge"), 1).otherwise(0)
-    limits = state.select(F.col("source").alias("s"), "source_size", "target", "epochs", limit.alias("limit"))
-    copies = F.col("epochs") + F.when(F.col("h") < F.col("limit"), 1).otherwise(0)
-    copies = F.least(F.when(F.col("source_size") > 0, copies).otherwise(0), F.lit(max_repeats)).cast("long")
-    joined = narrow.join(limits, narrow.source.eqNullSafe(limits.s))
-    return joined.select(
-        "doc_id", "source", "size", "source_size", "target", copies.alias("copies"), (copies * F.col("size")).alias("taken")
+    return narrow, written(state.select("source", "source_size", "target", "epochs", limit.alias("limit")))
+
+
+def copies_of(h: Column, limits: Column, max_repeats: int = MAX_REPEATS) -> Column:
+    """How often a document of hash ``h`` is taken under its source's limits."""
+    copies = limits["epochs"] + F.when(h < limits["limit"], 1).otherwise(0)
+    copies = F.when(limits["source_size"] > 0, copies).otherwise(0)
+    return F.least(copies, F.lit(max_repeats)).cast("long")
+
+
+def mix(df: DataFrame, size: Column, source_col: str = "source", **options) -> DataFrame:
+    """One row per row of ``df``: ``doc_id, source, size, source_size, target, copies, taken``.
+
+    ``copies`` is how often the mix takes the document and ``taken`` its size
+    times that. Each source's taken sizes are as near to its target as whole
+    documents in hash order allow. Null sizes are 0, a null source is a source
+    of its own, a source of size 0 has target 0 and is not taken. Rows with the
+    same id are decided alike, without an id rows of the same text. An
+    empty table gives no rows. Other columns of ``df`` are not used; the options
+    are those of :func:`fit_mix`.
+    """
+    narrow, limits = fit_mix(df, size, source_col=source_col, **options)
+    limits = limits.select(F.col("source").alias("s"), F.struct("source_size", "target", "epochs", "limit").alias("l"))
+    copies = copies_of(F.col("h"), F.col("l"), options.get("max_repeats", MAX_REPEATS))
+    return (
+        narrow.join(limits, narrow.source.eqNullSafe(limits.s))
+        .withColumn("copies", copies)
+        .select(
+            "doc_id", "source", "size", "l.source_size", "l.target", "copies", (F.col("copies") * F.col("size")).alias("taken")
+        )
     )
+
+
+def mixed_documents(
+    df: DataFrame,
+    size: Column,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    source_col: str = "source",
+    seed: str = "mix",
+    **options,
+) -> DataFrame:
+    """The rows of ``df`` as often as the mix takes them. No row is shuffled: the limits go to the rows."""
+    _, limits = fit_mix(df, size, id_col, text_col, source_col, seed=seed, **options)
+    s, told, copy = free_name(df, "__source"), free_name(df, "__limits"), free_name(df, "__copy")
+    limits = limits.select(F.col("source").alias(s), F.struct("source_size", "target", "epochs", "limit").alias(told))
+    copies = copies_of(mixing_hash(F.col(id_col), F.col(text_col), seed), F.col(told), options.get("max_repeats", MAX_REPEATS))
+    taken = df.join(limits, df[source_col].eqNullSafe(limits[s]))
+    taken = taken.withColumn(copy, F.explode(F.array_repeat(F.lit(1), copies.cast("int"))))
+    return taken.select(*[F.col(f"`{c}`") for c in df.columns])
