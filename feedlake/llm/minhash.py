@@ -18,7 +18,7 @@ written out as pairs.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -28,6 +28,8 @@ from pyspark.sql import functions as F
 
 from feedlake.plans.handoff import written
 
+from .common import id_filter
+
 BANDS = 32
 ROWS = 4
 HASHES = BANDS * ROWS
@@ -225,13 +227,16 @@ def near_duplicates(
         with_a = pairs.distinct().join(sigs.alias("x"), F.col("a") == F.col("x.rep"))
         return with_a.join(sigs.alias("y"), F.col("b") == F.col("y.rep")).where(likely).select("a", "b").distinct()
 
+    def picked_sets(ids: DataFrame) -> DataFrame:
+        """The full sets of all texts with these ids, and a few others; the texts are not shuffled."""
+        wanted = id_filter(ids)
+        texts = df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+        return shingle_sets(texts.where(wanted(F.col("doc_id"))), "doc_id", "text", size)
+
     def confirmed(pairs: DataFrame) -> DataFrame:
         """Those of the pairs that are links, by the full sets of all texts with these ids."""
         pairs = written(pairs)
-        ids = pairs.select(F.explode(F.array("a", "b")).alias("__id")).distinct()
-        texts = df.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-        texts = texts.join(ids, F.col("doc_id") == F.col("__id"), "left_semi")
-        sets = shingle_sets(texts, "doc_id", "text", size)
+        sets = picked_sets(pairs.select(F.explode(F.array("a", "b"))))
         a = sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("sa"))
         b = sets.select(F.col("doc_id").alias("b"), F.col("shingles").alias("sb"))
         common = F.size(F.array_intersect("sa", "sb"))
@@ -256,7 +261,7 @@ def near_duplicates(
         labels = components(links)
         # a centre has been compared with all others of its bucket
         members = written(_unsettled(spokes.where("rep <> centre").select("bucket", "rep"), labels))
-    links = links.unionByName(_block_links(df, members, id_col, text_col, size, limit))
+    links = links.unionByName(_block_links(members, picked_sets, limit))
     labels = components(links)
     ids = signed.select("doc_id", "n_shingles", "set_key")
     reps = classes.select("set_key", "rep").join(labels.withColumnRenamed("node", "rep"), "rep", "left")
@@ -281,7 +286,7 @@ def _unsettled(members: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def _block_links(
-    df: DataFrame, members: DataFrame, id_col: str, text_col: str, size: int, limit: float, block: int = BLOCK
+    members: DataFrame, picked_sets: Callable[[DataFrame], DataFrame], limit: float, block: int = BLOCK
 ) -> DataFrame:
     """Links between members of a bucket in different components, by full sets, without a row per pair.
 
@@ -315,9 +320,7 @@ def _block_links(
         "rep",
         "component",
     )
-    texts = df.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    wanted = grouped.select("rep").distinct()
-    sets = shingle_sets(texts.join(wanted, F.col("doc_id") == F.col("rep"), "left_semi"), "doc_id", "text", size)
+    sets = picked_sets(grouped.select("rep"))
     rows = minor.unionByName(every).join(sets, F.col("rep") == F.col("doc_id"))
     rows = rows.select("g", "i", "j", "minor", "rep", "component", "shingles")
 
