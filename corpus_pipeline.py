@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from feedlake.llm import byte_bpe, minhash, mixture, surrogates, toxicity
-from feedlake.llm.common import count_words, documents, free_name, id_remainder
+from feedlake.llm.common import count_words, documents, free_name, id_filter, id_remainder
 from feedlake.plans.handoff import written
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
@@ -41,13 +41,18 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     """
     found = written(minhash.near_duplicates(docs, size=SHINGLE, limit=SIMILARITY))
     gone = free_name(docs, "__gone")
+    ids = F.col("doc_id").cast("long")
     dropped = written(found.where("NOT kept").select(F.col("doc_id").alias(gone)).distinct())
-    kept = docs.join(dropped, F.col("doc_id") == F.col(gone), "left_anti")
+    # only documents that may be dropped are shuffled to find out
+    hit = free_name(docs, "__hit")
+    marked = docs.withColumn(hit, id_filter(dropped)(ids))
+    unsure = marked.where(F.col(hit)).join(dropped, ids == F.col(gone), "left_anti")
+    kept = marked.where(~F.col(hit)).unionByName(unsure).select(*docs.columns)
     repeated = found.where("kept AND doc_id IS NOT NULL").groupBy(F.col("doc_id").alias(gone)).agg(F.count("*").alias("n"))
     repeated = written(repeated.where("n > 1").select(gone))
     if not repeated.limit(1).count():
         return kept
-    same_id = F.col("doc_id") == F.col(gone)
+    same_id = ids == F.col(gone)
     place = free_name(docs, "__place")
     first = Window.partitionBy("doc_id").orderBy("text")
     one = kept.join(repeated, same_id, "left_semi").withColumn(place, F.row_number().over(first)).where(F.col(place) == 1)
