@@ -97,7 +97,7 @@ def _stream(length: Column, *parts: Column) -> Column:
 
 def _reshaped(value: Column, *parts: Column) -> Column:
     """Letters and digits replaced, each by one of its sort; everything else stays."""
-    hexadecimal = value.rlike("^[0-9a-f]*$")
+    hexadecimal = value.rlike("^(?:[0-9a-f]*|[0-9A-F]*)$")
 
     def each(stream: Column) -> Column:
         def one(c: Column, i: Column) -> Column:
@@ -108,7 +108,7 @@ def _reshaped(value: Column, *parts: Column) -> Column:
 
             return (
                 F.when(c.rlike(r"^\p{N}$"), pick("0123456789"))
-                .when(c.rlike(r"^\p{Lu}$"), pick("ABCDEFGHIJKLMNOPQRSTUVWXYZ"))
+                .when(c.rlike(r"^\p{Lu}$"), F.when(hexadecimal, pick("ABCDEF")).otherwise(pick("ABCDEFGHIJKLMNOPQRSTUVWXYZ")))
                 .when(c.rlike(r"^\p{L}$"), F.when(hexadecimal, pick("abcdef")).otherwise(pick("abcdefghijklmnopqrstuvwxyz")))
                 .otherwise(c)
             )
@@ -177,19 +177,24 @@ def _person(value: Column, key: Column, attempt: Column) -> Column:
             found = F.when(_script(word) == script, names).otherwise(found)
         return found
 
-    def syllables(word: Column) -> Column:
+    def syllables(word: Column, tries: Column, count: Column) -> Column:
+        stream = _stream(F.lit(32), key, F.lit("syllables"), word, tries)
         found = F.lit(None).cast("string")
         for script, known in SYLLABLES.items():
-            count = 3 + F.floor(attempt.cast("int") / GROWS)
-            made = _stream(F.lit(32), key, F.lit("family"), word, attempt)
             letters = F.array(*map(F.lit, known))
-            joined = F.array_join(
-                F.transform(F.sequence(F.lit(1), count.cast("int")), lambda i: F.element_at(letters, _number(made, i * 4, len(known)) + 1)), ""
+            chosen = F.transform(
+                F.sequence(F.lit(1), count.cast("int")), lambda i: F.element_at(letters, _number(stream, i * 4, len(known)) + 1)
             )
-            found = F.when(_script(word) == script, F.initcap(joined)).otherwise(found)
+            found = F.when(_script(word) == script, F.initcap(F.array_join(chosen, ""))).otherwise(found)
         return found
 
-    return F.concat_ws(" ", title, F.when(given.isNotNull(), pick(given, GIVEN, "given")), syllables(family))
+    tries = attempt.cast("int")
+    # more people of one family than given names: the later ones get a second one, the family stays
+    second = F.when(tries > 0, F.concat(F.lit("-"), syllables(given, attempt, F.lit(3)))).otherwise("")
+    made = F.when(given.isNotNull(), F.concat(pick(given, GIVEN, "given"), second))
+    again = F.when(given.isNull(), attempt).otherwise("0")
+    size = F.when(given.isNull(), 3 + F.floor(tries / GROWS)).otherwise(3)
+    return F.concat_ws(" ", title, made, syllables(family, again, size))
 
 
 def surrogate_of(kind: Column, canonical: Column, attempt: Column, key: str) -> Column:
