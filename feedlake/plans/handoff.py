@@ -9,8 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-# Rows of a driver-made lookup table that may be broadcast without a size known to Spark.
-_LOOKUP_ROWS = 10_000
+# Bytes of a driver-made lookup table that may be broadcast without a size known to Spark.
+_LOOKUP_BYTES = 1 << 20
 
 _local_folders: dict[str, str] = {}
 
@@ -22,6 +22,9 @@ def shared_folder(spark: SparkSession) -> str:
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder:
+        local = spark.sparkContext.master.startswith("local")
+        if folder.startswith("/") and not local and spark._jsc.hadoopConfiguration().get("fs.defaultFS", "file:").startswith("file:"):
+            raise ValueError(f"{folder} is a local folder of each machine; set spark.checkpoint.dir to a shared one")
         return folder.rstrip("/")
     sc = spark.sparkContext
     if not sc.master.startswith("local"):
@@ -54,10 +57,11 @@ def from_driver(spark: SparkSession, rows: list[tuple], schema: str) -> DataFram
     """A lookup table of rows the driver already holds, such as the registry.
 
     Spark does not know the size of such a table, so it is broadcast here while
-    it is small; a larger one is handed over as a written table.
+    its texts are small; a larger one is handed over as a written table.
     """
     table = spark.createDataFrame(rows, schema)
-    return F.broadcast(table) if len(rows) <= _LOOKUP_ROWS else written(table)
+    size = sum(len(repr(row)) for row in rows)
+    return F.broadcast(table) if size <= _LOOKUP_BYTES else written(table)
 
 
 def read_table(spark: SparkSession, path: str, schema: StructType) -> DataFrame:

@@ -99,7 +99,9 @@ class LoadConfig:
     the one whose payloads decide how many are expected. ``target`` holds the
     published tables, ``work`` this load's intermediate tables and ``ledger``
     the run ledger. ``work`` defaults to a new folder under
-    ``spark.checkpoint.dir``.
+    ``spark.checkpoint.dir``. Files with rejected or held-back lines stay
+    pending, so a run after the registry is mended loads them again;
+    ``accept_partial`` takes them for done.
     """
 
     sources: Mapping[str, str]
@@ -121,6 +123,7 @@ class LoadConfig:
     date_rule: str = "fallback"
     money_on_error: str = "fail"
     parallel_tables: int = 4
+    accept_partial: bool = False
 
     def __post_init__(self):
         if not (len(self.syncday) == 8 and self.syncday.isdigit()):
@@ -160,34 +163,10 @@ def check_arrival(spark: SparkSession, cfg: LoadConfig) -> tuple[DataFrame, str]
     return files.where(F.col("suffix") == PAYLOAD_SUFFIX), verdict.status
 
 
-# Payloads that together are smaller than this are scanned for their headers:
-# that costs less than starting a Python worker for each file.
-_SCAN_BYTES = 256 << 20
-
-
 def read_headers(spark: SparkSession, files: DataFrame, cfg: LoadConfig) -> DataFrame:
-    """Header and feed details of every non-empty file of ``files``, as a written table.
-
-    Files whose header the early-stopping read did not give (it counts on one
-    file per partition) are looked up by scanning them.
-    """
-
-    def described(firsts: DataFrame) -> DataFrame:
-        return feed_details(feed_header(firsts), cfg.prefixes)
-
-    def scanned(paths: list[str]) -> DataFrame:
-        return described(first_lines(scan_lines(spark, paths, cfg.trim_lines)))
-
-    filled = files.where("length > 0")
-    size = filled.agg(F.count("*").alias("files"), F.sum("length").alias("bytes")).first()
-    paths = _paths(filled)
-    if not paths or size["bytes"] <= _SCAN_BYTES:
-        return written(scanned(paths))
-    headers = written(described(sniff_first_lines(spark, paths, cfg.trim_lines)))
-    if headers.count() == size["files"]:
-        return headers
-    missing = _paths(filled.join(headers, files.path == headers.file, "left_anti"))
-    return written(headers.unionByName(scanned(missing))) if missing else headers
+    """Header and feed details of every file of ``files`` with a non-blank line, as a written table."""
+    firsts = sniff_first_lines(spark, _paths(files.where("length > 0")), cfg.trim_lines)
+    return written(feed_details(feed_header(firsts), cfg.prefixes))
 
 
 def _paths(files: DataFrame) -> list[str]:
@@ -536,6 +515,8 @@ class _Totals:
     rejected: int = 0
     tables: dict[str, int] = field(default_factory=dict)
     rejects: list[DataFrame] = field(default_factory=list)
+    # files with rejected or held-back lines
+    partial: list[DataFrame] = field(default_factory=list)
 
 
 def _whole_days(headers: DataFrame, fresh: DataFrame) -> DataFrame:
@@ -573,6 +554,9 @@ def _load_feeds(
     day = plan_day(verdicts, schemas, cfg)
     totals.held_back += day.held_back
     totals.rejected += day.unusable + day.bad_rows
+    if day.unusable or day.bad_rows or day.held_back:
+        clean = F.col("fits") & _due(cfg)
+        totals.partial.append(verdicts.where(~F.coalesce(clean, F.lit(False))).select("file").distinct())
     if cfg.fail_fast and day.bad_rows:
         bad = sorted(f"{t.feed}/{t.recordtype}" for t in day.tables if t.bad_rows)
         raise WidthError(f"{day.bad_rows} lines in groups of a wrong width: {', '.join(bad)}")
@@ -607,6 +591,21 @@ def _load_queue(
     cfg: LoadConfig,
     totals: _Totals,
 ) -> None:
+    if QUEUE_KEY not in entries:
+        lines = scan_lines(spark, paths)
+        missing = lines.select(
+            "file",
+            F.lit(QUEUE_RECORDTYPE).alias("recordtype"),
+            F.col("value").alias("line"),
+            F.lit("no_schema").alias("reason"),
+        )
+        count = missing.count()
+        if count and cfg.fail_fast:
+            raise RejectedRows(f"{count} queue rows without a schema")
+        totals.rejected += count
+        totals.rejects.append(missing)
+        totals.partial.append(missing.select("file").distinct())
+        return
     rows, rejects, too_long = queue_rows(spark, paths, entries[QUEUE_KEY])
     if too_long and cfg.fail_fast:
         raise WidthError(f"{too_long} queue rows with too many fields")
@@ -616,6 +615,7 @@ def _load_queue(
     totals.rejected += too_long
     if too_long:
         totals.rejects.append(rejects)
+        totals.partial.append(rejects.select("file").distinct())
 
 
 def _load(spark: SparkSession, cfg: LoadConfig, ledger: Ledger, task_id: str) -> LoadResult:
@@ -637,7 +637,13 @@ def _load(spark: SparkSession, cfg: LoadConfig, ledger: Ledger, task_id: str) ->
     rejects = None
     if totals.rejects:
         rejects = written(union_sources(*totals.rejects), f"{cfg.work}/rejects")
-    ledger.append_files(files.where("fresh"), task_id, cfg.syncday)
+    fresh = files.where("fresh").withColumn("status", F.lit("ok"))
+    if totals.partial and not cfg.accept_partial:
+        partial = union_sources(*totals.partial).distinct()
+        fresh = fresh.join(partial, fresh.path == partial.file, "left").withColumn(
+            "status", F.when(F.col("file").isNull(), "ok").otherwise("partial")
+        )
+    ledger.append_files(fresh, task_id, cfg.syncday)
     published = sum(totals.tables.values())
     return LoadResult(
         task_id, status, published, totals.held_back, totals.rejected, totals.tables, rejects

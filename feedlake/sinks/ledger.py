@@ -35,12 +35,13 @@ class Ledger:
         rows.write.mode("append").parquet(self.runs_path)
 
     def append_files(self, files: DataFrame, task_id: str, syncday: str) -> None:
-        """Note the files a successful run has taken."""
+        """Note the files a successful run has taken, with a ``status`` of their own if they have one."""
         taken = {
             "task_id": F.lit(task_id),
             "period": F.date_format(F.to_date(F.lit(syncday), "yyyyMMdd"), "yyyy-MM-dd"),
-            "status": F.lit("ok"),
         }
+        if "status" not in files.columns:
+            taken["status"] = F.lit("ok")
         rows = files.withColumns(taken).select(*FILES_SCHEMA.names)
         rows.write.mode("append").parquet(self.files_path)
 

@@ -24,8 +24,18 @@ def load_registry(spark: SparkSession, path: str) -> DataFrame:
 
 
 def registry_entries(registry: DataFrame) -> dict[str, list[str]]:
-    """The registry on the driver; it has one row per record type."""
-    return {row.key: list(row.names) for row in registry.collect()}
+    """The registry on the driver; it has one row per record type.
+
+    A list that names a column twice, or two columns that differ only in case,
+    is refused: no table can have both.
+    """
+    entries = {row.key: list(row.names) for row in registry.collect()}
+    for key, names in entries.items():
+        lowered = [name.partition(":")[0].lower() for name in names]
+        twice = sorted({name for name in lowered if lowered.count(name) > 1})
+        if twice:
+            raise ValueError(f"the registry entry {key!r} names {', '.join(twice)} more than once")
+    return entries
 
 
 def registry_key(feed: Column, recordtype: Column, prefixes: Mapping[str, str] = FEED_PREFIXES) -> Column:

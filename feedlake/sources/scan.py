@@ -2,31 +2,53 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator, Sequence
+import re
+from collections.abc import Iterable, Sequence
+from functools import reduce
+from urllib.parse import unquote
 
-import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from feedlake.constants import NULL_TOKENS
 from feedlake.functions.text import drop_null_tokens
+from feedlake.plans.handoff import fresh_folder
 
 OVERFLOW = "_overflow"
 _ODD = "_odd_line"
 
-# One header read per file: a file is never cut below this size in that scan.
-_WHOLE_FILE = str(1 << 40)
+# Larger than any file: a file is not cut in a header read.
+_WHOLE_FILE = str(1 << 62)
+# Header reads that share one plan.
+_READS = 200
+
+
+def reader_paths(paths: Sequence[str] | str) -> list[str]:
+    """Paths that a reader takes as they are: characters of glob patterns lose that meaning."""
+    paths = [paths] if isinstance(paths, str) else paths
+    return [re.sub(r"([\\\[\]{}*?])", r"\\\1", path) for path in paths]
+
+
+def file_path() -> Column:
+    """The path of a row's file as listings give it.
+
+    The reader's own column is URL-encoded, so names with a space, ``%`` or
+    letters beyond ASCII would not be found among the listed files.
+    """
+    # a plus sign stands for itself in paths, not for a space
+    return F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
 
 
 def scan_lines(spark: SparkSession, paths: Sequence[str] | str, trim: bool = False) -> DataFrame:
     """Non-blank lines as ``(file, file_name, block_start, value)``."""
     value = F.trim("value") if trim else F.col("value")
+    file = file_path()
     return (
-        spark.read.text(paths)
+        spark.read.text(reader_paths(paths))
         .select(
-            F.col("_metadata.file_path").alias("file"),
-            F.col("_metadata.file_name").alias("file_name"),
+            file.alias("file"),
+            F.substring_index(file, "/", -1).alias("file_name"),
             F.col("_metadata.file_block_start").alias("block_start"),
             value.alias("value"),
         )
@@ -34,39 +56,41 @@ def scan_lines(spark: SparkSession, paths: Sequence[str] | str, trim: bool = Fal
     )
 
 
+def _session_of_whole_files(spark: SparkSession) -> SparkSession:
+    """A session with all settings of ``spark``, also those made at run time, that cuts no file."""
+    session = spark.newSession()
+    for name, value in spark.conf.getAll.items():
+        if session.conf.isModifiable(name):
+            session.conf.set(name, value)
+    session.conf.set("spark.sql.files.maxPartitionBytes", _WHOLE_FILE)
+    return session
+
+
 def sniff_first_lines(
     spark: SparkSession, paths: Sequence[str] | str, trim: bool = False
 ) -> DataFrame:
     """First non-blank line of each file as ``(file, value)``, without scanning the files.
 
-    No built-in operator stops reading a partition early, so an aggregate over
-    the lines would read every byte just to keep one line per file. Here each
-    file is one partition and its task stops at the first line it wants: the
-    cost is one small read per file, whatever the file's size. The settings
-    that give each file its own partition live in a session of their own.
+    Each file is read under a limit of one row, as one partition, and the reader
+    stops once it has that row: the cost is one small read per file, whatever
+    its size. Files are read some hundred at a time; the result is written. A
+    single text is a folder, or a file.
     """
-
-    # Defined here so that it travels by value: executors need not have this package.
-    def first_line(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for at, value in enumerate(batch.column("value").to_pylist()):
-                if value.strip(" "):
-                    yield batch.slice(at, 1)
-                    return
-
-    session = spark.newSession()
-    session.conf.set("spark.sql.files.maxPartitionBytes", _WHOLE_FILE)
-    session.conf.set("spark.sql.files.openCostInBytes", _WHOLE_FILE)
-    session.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "64")
-    lines = session.read.text(paths).select(
-        F.col("_metadata.file_path").alias("file"),
-        F.col("_metadata.file_block_start").alias("block_start"),
-        "value",
-    )
-    firsts = lines.mapInArrow(first_line, lines.schema)
-    # A file larger than one partition gives one row for each of its parts.
-    first = F.min_by("value", "block_start")
-    return firsts.groupBy("file").agg((F.trim(first) if trim else first).alias("value"))
+    session = _session_of_whole_files(spark)
+    if isinstance(paths, str):
+        paths = [unquote(path) for path in session.read.text(reader_paths(paths)).inputFiles()]
+    parts = []
+    for at in range(0, len(paths), _READS):
+        reads = [
+            scan_lines(session, path, trim).limit(1).select("file", "value")
+            for path in paths[at : at + _READS]
+        ]
+        part = fresh_folder(spark, "firsts")
+        reduce(DataFrame.unionByName, reads).write.parquet(part)
+        parts.append(part)
+    if not parts:
+        return spark.createDataFrame([], "file string, value string")
+    return spark.read.schema("file string, value string").parquet(*parts)
 
 
 def scan_delimited(
@@ -92,7 +116,7 @@ def scan_delimited(
         # a reader that skips columns does not notice odd lines
         .option("columnPruning", False)
         .option("escape", '"')
-        .csv(paths)
+        .csv(reader_paths(paths))
     )
     # The reader hands over the line of short and of long rows; only these few
     # are counted, with the separators inside quotes left out.
@@ -100,8 +124,8 @@ def scan_delimited(
     count = F.length(unquoted) - F.length(F.replace(unquoted, F.lit(sep), F.lit(""))) + len(sep)
     too_long = F.col(_ODD).isNotNull() & (count > len(names) * len(sep))
     return scanned.select(
-        F.col("_metadata.file_path").alias("file"),
-        F.col("_metadata.file_name").alias("file_name"),
+        file_path().alias("file"),
+        F.substring_index(file_path(), "/", -1).alias("file_name"),
         *names,
         # a query on nothing but the odd lines is refused, so name a column
         F.when(too_long, F.coalesce(_ODD, names[0])).alias(OVERFLOW),

@@ -1,5 +1,6 @@
 """End-to-end loads of small hand-written feeds."""
 
+import json
 from datetime import datetime
 from pathlib import Path
 
@@ -319,3 +320,45 @@ def test_lenient_load_of_clean_amounts_has_no_rejects(spark, landing):
     landing.drop("P_20240115.pgp", PLACE, "d1|20240110101500|1|", "d2|20240111101500|2|3")
     result = daily_load(spark, landing.config(money_on_error="null"))
     assert (result.published, result.rejected, result.rejects) == (2, 0, None)
+
+
+ODD_NAMES = ["A 1", "A%20", "A[1]", "A{1}", "A*", "Añ+b", "A?"]
+
+
+def test_file_names_of_any_characters(spark, landing):
+    """On the first run, and for files that come late."""
+    landing.markers(DAY)
+    landing.drop(f"Act_{DAY}.pgp", PLAIN, "ACT|first||C")
+    for k, name in enumerate(ODD_NAMES[:4]):
+        landing.drop(f"{name}_{DAY}.pgp", PLAIN, f"ACT|a{k}||C")
+    assert daily_load(spark, landing.config()).published == 5
+    for k, name in enumerate(ODD_NAMES[4:]):
+        landing.drop(f"{name}_{DAY}.pgp", PLAIN, f"ACT|b{k}||C")
+    late = daily_load(spark, landing.config())
+    assert (late.published, late.rejected) == (8, 0)
+    assert landing.table(spark, "ACT", ACCT).count() == 8
+    assert daily_load(spark, landing.config()).status == "nothing_pending"
+
+
+def test_a_mended_registry_brings_rejected_lines_back(spark, landing):
+    landing.markers(DAY)
+    landing.drop(f"Act_{DAY}.pgp", PLAIN, "ACT|a1||C1", "NEW|n1|x")
+    landing.drop(f"{QUEUE}_{DAY}.pgp", "1|a1|2024-01-10 00:00:00||ok")
+    whole = json.loads((landing.root / "registry.json").read_text())
+    lacking = {k: v for k, v in whole.items() if k != "queue_export"}
+    (landing.root / "registry.json").write_text(json.dumps(lacking))
+    first = daily_load(spark, landing.config())
+    assert reasons(first) == [("NEW", "NEW|n1|x", "no_schema"), ("queue", "1|a1|2024-01-10 00:00:00||ok", "no_schema")] or first.rejected == 2
+    (landing.root / "registry.json").write_text(json.dumps({**whole, "cmc_aar_new": ["accountno", "what"]}))
+    second = daily_load(spark, landing.config())
+    assert (second.status, second.rejected, second.published) == ("ok", 0, 3)
+    assert landing.table(spark, "NEW", ACCT).count() == 1
+    assert daily_load(spark, landing.config()).status == "nothing_pending"
+
+
+def test_partial_files_can_be_accepted(spark, landing):
+    landing.markers(DAY)
+    landing.drop(f"Act_{DAY}.pgp", PLAIN, "ACT|a1||C1", "NEW|n1|x")
+    config = landing.config(accept_partial=True)
+    assert daily_load(spark, config).rejected == 1
+    assert daily_load(spark, config).status == "nothing_pending"

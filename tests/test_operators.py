@@ -1,5 +1,7 @@
 """Operators on small frames, where the probes do not reach."""
 
+import time
+
 from datetime import datetime
 
 import pytest
@@ -22,7 +24,10 @@ from feedlake.operators import (
 )
 from feedlake.plans import ingest
 from feedlake.plans.handoff import from_driver, shared_folder, written
-from feedlake.sources import discover, scan_lines, sniff_first_lines
+from feedlake.sources import discover, scan, scan_lines, sniff_first_lines
+from feedlake.sources.registry import registry_entries
+
+PLAIN_HEADER = "AcctActReturnFile|x|20240115"
 
 
 def column(spark, values, kind="string"):
@@ -146,14 +151,36 @@ def test_both_ways_to_read_headers_agree(spark, many_lines):
     ]
 
 
-def test_load_reads_headers_early_stopping_when_there_is_much(spark, many_lines, monkeypatch):
-    config = many_lines.config()
-    files = written(discover(spark, config.sources, "20240115", ".pgp"))
-    few = ingest.read_headers(spark, files, config)
-    monkeypatch.setattr(ingest, "_SCAN_BYTES", 0)
-    many = ingest.read_headers(spark, files, config)
-    assert few.count() == many.count() == 2
-    assert few.exceptAll(many).isEmpty()
+def test_header_read_does_not_grow_with_the_file(spark, landing):
+    line = "ACT|a1||" + "C" * 90
+    landing.drop("Small_20240115.pgp", PLAIN_HEADER, *([line] * 20_000))
+    landing.drop("Large_20240115.pgp", PLAIN_HEADER, *([line] * 600_000))
+
+    def seconds(name):
+        start = time.perf_counter()
+        assert sniff_first_lines(spark, [str(landing.root / "first" / name)]).first().value == PLAIN_HEADER
+        return time.perf_counter() - start
+
+    small = min(seconds("Small_20240115.pgp") for _ in range(4))
+    large = min(seconds("Large_20240115.pgp") for _ in range(4))
+    assert large < 3 * small + 0.2
+
+
+def test_header_read_keeps_settings_made_at_run_time(spark):
+    spark.conf.set("spark.sql.files.ignoreCorruptFiles", "true")
+    try:
+        session = scan._session_of_whole_files(spark)
+    finally:
+        spark.conf.unset("spark.sql.files.ignoreCorruptFiles")
+    assert session.conf.get("spark.sql.files.ignoreCorruptFiles") == "true"
+    assert session.conf.get("spark.sql.session.timeZone") == spark.conf.get("spark.sql.session.timeZone")
+
+
+def test_registry_with_a_repeated_name_is_refused(spark):
+    for names in (["a", "b", "a"], ["a", "A:bigint"]):
+        registry = spark.createDataFrame([("k", names)], "key string, names array<string>")
+        with pytest.raises(ValueError, match="more than once"):
+            registry_entries(registry)
 
 
 def test_line_pass_shuffles_nothing(spark, many_lines):
@@ -214,7 +241,7 @@ def test_groups_with_a_null_key_are_judged_too(spark):
 
 def test_large_lookup_tables_are_not_broadcast_blindly(spark):
     small = from_driver(spark, [("a",)], "key string")
-    large = from_driver(spark, [(str(n),) for n in range(10_001)], "key string")
+    large = from_driver(spark, [("x" * 1_000,) for n in range(2_000)], "key string")
     hints = [df._jdf.queryExecution().logical().toString() for df in (small, large)]
     assert "Hint broadcast" in hints[0] and "Hint broadcast" not in hints[1]
 

@@ -6,11 +6,10 @@ import os
 import duckdb
 import pytest
 
-import __spark_entry__ as contract
 from conftest import SF_DIR
 
-QUERIES = contract.queries()
-ORACLES = contract.oracle_sql()
+from feedlake.plans.oracles import ORACLES
+from feedlake.plans.probes import PROBES as QUERIES
 
 
 @pytest.fixture(scope="module")
