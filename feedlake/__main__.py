@@ -25,6 +25,13 @@ def main() -> None:
     parser.add_argument("--repair", nargs=2, action="append", default=[], metavar=("BAD", "GOOD"))
     parser.add_argument("--strict-markers", action="store_true")
     parser.add_argument("--fail-fast", action="store_true", help="tolerate no rejected line")
+    parser.add_argument("--accept-partial", action="store_true", help="files with rejected lines are done, too")
+    parser.add_argument("--anchored-headers", action="store_true", help="drop header-shaped lines only")
+    parser.add_argument("--trim-lines", action="store_true")
+    parser.add_argument("--date-scope", choices=("column", "row"), default="column")
+    parser.add_argument("--date-rule", choices=("fallback", "coerce"), default="fallback")
+    parser.add_argument("--money-on-error", choices=("fail", "null"), default="fail")
+    parser.add_argument("--exclude-column", action="append", metavar="NAME", help="registered column to leave out")
     args = parser.parse_args()
 
     logging.basicConfig(level=logging.INFO)
@@ -38,6 +45,13 @@ def main() -> None:
         repairs=[tuple(pair) for pair in args.repair],
         strict_markers=args.strict_markers,
         fail_fast=args.fail_fast,
+        accept_partial=args.accept_partial,
+        anchored_headers=args.anchored_headers,
+        trim_lines=args.trim_lines,
+        date_scope=args.date_scope,
+        date_rule=args.date_rule,
+        money_on_error=args.money_on_error,
+        **({"exclude_columns": args.exclude_column} if args.exclude_column else {}),
     )
     spark = build_session("feedlake")
     result = daily_load(spark, config)
@@ -45,6 +59,8 @@ def main() -> None:
         print(f"{table}: {rows} rows")
     print(f"{result.status}: {result.published} published, ", end="")
     print(f"{result.held_back} held back, {result.rejected} rejected")
+    if result.rejects is not None:
+        print("rejects:", *sorted({path.rsplit("/", 1)[0] for path in result.rejects.inputFiles()}))
 
 
 if __name__ == "__main__":

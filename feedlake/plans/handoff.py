@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -34,6 +37,30 @@ def shared_folder(spark: SparkSession) -> str:
     return _local_folders[sc.applicationId]
 
 
+_made: ContextVar[list[str] | None] = ContextVar("made", default=None)
+
+
+@contextmanager
+def cleared_after(spark: SparkSession) -> Iterator[None]:
+    """Hand-over tables that are made inside are deleted at the end, if it ends well.
+
+    After an error they stay, to look at.
+    """
+    paths: list[str] = []
+    token = _made.set(paths)
+    try:
+        yield
+    finally:
+        _made.reset(token)
+    for path in paths:
+        delete_folder(spark, path)
+
+
+def delete_folder(spark: SparkSession, path: str) -> None:
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def fresh_folder(spark: SparkSession, label: str) -> str:
     """A path under the shared folder that nothing has used before."""
     return f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
@@ -48,7 +75,10 @@ def written(df: DataFrame, path: str | None = None, partition_by: tuple[str, ...
     shuffles, where adaptive execution splits hot keys.
     """
     spark = df.sparkSession
-    path = path or fresh_folder(spark, "handoff")
+    if path is None:
+        path = fresh_folder(spark, "handoff")
+        if (made := _made.get()) is not None:
+            made.append(path)
     df.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

@@ -58,10 +58,10 @@ from feedlake.operators.typing_rules import (
     parse_doubles,
 )
 from feedlake.operators.unpack import WidthError, unpack, width_ok
-from feedlake.plans.handoff import fresh_folder, from_driver, written
+from feedlake.plans.handoff import cleared_after, delete_folder, fresh_folder, from_driver, written
 from feedlake.session import configure
 from feedlake.sinks.ledger import Ledger
-from feedlake.sinks.snapshot import publish
+from feedlake.sinks.snapshot import drop_lacking, publish
 from feedlake.sources.discover import discover, route_kind, union_sources
 from feedlake.sources.registry import (
     load_registry,
@@ -580,6 +580,12 @@ def _load_feeds(
     with ThreadPoolExecutor(max_workers=max(1, cfg.parallel_tables)) as pool:
         work = inheritable_thread_target(spark)(load_table)
         totals.tables.update(pool.map(work, ready))
+    if not day.unusable:
+        # feeds of the sync day, and what the new version of the day has of each
+        due = headers.where(F.to_date("snap_dt") == F.to_date(F.lit(cfg.syncday), "yyyyMMdd"))
+        for row in due.select("feed").distinct().collect():
+            has = {plan.recordtype for plan in day.tables if plan.feed == row.feed}
+            drop_lacking(spark, cfg.target, cfg.syncday, row.feed, has)
     if day.unusable or day.bad_rows or noted:
         totals.rejects.append(rejected_lines(bronze, verdicts, day.tables, cfg, noted))
 
@@ -654,7 +660,8 @@ def daily_load(spark: SparkSession, cfg: LoadConfig) -> LoadResult:
     """Check, load and publish the sync day's files, and note the run in the ledger.
 
     A failed run is noted as such and its error is raised again; running the
-    day once more redoes what was not finished.
+    day once more redoes what was not finished. Of the intermediate tables of a
+    run that ends well only the rejects stay.
     """
     configure(spark)
     cfg = replace(cfg, work=cfg.work or fresh_folder(spark, f"load-{cfg.syncday}"))
@@ -668,7 +675,10 @@ def daily_load(spark: SparkSession, cfg: LoadConfig) -> LoadResult:
         "start": datetime.now(timezone.utc),
     }
     try:
-        result = _load(spark, cfg, ledger, task_id)
+        with cleared_after(spark):
+            result = _load(spark, cfg, ledger, task_id)
+        for own in ("bronze", "verdicts"):
+            delete_folder(spark, f"{cfg.work}/{own}")
     except Exception as error:
         ledger.record(**run, end=datetime.now(timezone.utc), error=f"{type(error).__name__}: {error}")
         raise

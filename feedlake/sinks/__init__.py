@@ -1,6 +1,6 @@
 """Writing snapshots, publishing a day, and the run ledger."""
 
 from feedlake.sinks.ledger import Ledger
-from feedlake.sinks.snapshot import publish, table_path, write_snapshot
+from feedlake.sinks.snapshot import drop_lacking, publish, table_path, write_snapshot
 
-__all__ = ["Ledger", "publish", "table_path", "write_snapshot"]
+__all__ = ["Ledger", "drop_lacking", "publish", "table_path", "write_snapshot"]

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation
+from collections.abc import Collection
+
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -57,3 +59,25 @@ def publish(df: DataFrame, base: str, syncday: str, feed: str, recordtype: str)
     return seen.get
 
 
+
+
+def drop_lacking(
+    spark: SparkSession, root: str, syncday: str, feed: str, recordtypes: Collection[str]
+) -> list[str]:
+    """Remove the sync day of a feed's record types other than ``recordtypes``; returns those it had.
+
+    A day is published whole: what an earlier version of it had and the new one
+    has not must go.
+    """
+    day = f"{syncday[:4]}-{syncday[4:6]}-{syncday[6:]}"
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    top = path(root)
+    files = top.getFileSystem(spark._jsc.hadoopConfiguration())
+    gone = []
+    for found in files.listStatus(top) if files.exists(top) else []:
+        recordtype = found.getPath().getName()
+        partition = path(f"{table_path(root, recordtype, feed)}/snap_day={day}")
+        if recordtype not in recordtypes and files.exists(partition):
+            files.delete(partition, True)
+            gone.append(recordtype)
+    return sorted(gone)

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from feedlake import daily_load
 from feedlake.operators import WidthError
+from feedlake.plans.handoff import shared_folder
 from feedlake.plans.ingest import IncompleteArrival, RejectedRows
 from feedlake.sinks import Ledger
 
@@ -362,3 +363,25 @@ def test_partial_files_can_be_accepted(spark, landing):
     config = landing.config(accept_partial=True)
     assert daily_load(spark, config).rejected == 1
     assert daily_load(spark, config).status == "nothing_pending"
+
+
+def test_a_corrected_day_loses_what_it_no_longer_has(spark, landing):
+    landing.markers(DAY)
+    landing.drop(f"Act_{DAY}.pgp", PLAIN, "ACT|a1||C1", "NOT|a1||hi")
+    daily_load(spark, landing.config())
+    assert landing.table(spark, "NOT", ACCT).count() == 1
+    landing.drop(f"Act_{DAY}.pgp", PLAIN, "ACT|a1||C1", "ACT|a2||C2")
+    daily_load(spark, landing.config())
+    assert landing.table(spark, "ACT", ACCT).count() == 2
+    assert not list((landing.root / "published" / "NOT" / ACCT).glob("snap_day=*"))
+
+
+def test_a_load_leaves_only_its_rejects(spark, landing, tmp_path):
+    landing.markers(DAY)
+    landing.drop(f"Act_{DAY}.pgp", PLAIN, "ACT|a1||C1", "NEW|n1|x")
+    before = set(Path(shared_folder(spark)).iterdir())
+    result = daily_load(spark, landing.config(work=str(tmp_path / "work")))
+    assert reasons(result) == [("NEW", "NEW|n1|x", "no_schema")]
+    assert [p.name for p in (tmp_path / "work").iterdir()] == ["rejects"]
+    left = {p.name.split("-")[0] for p in set(Path(shared_folder(spark)).iterdir()) - before}
+    assert "handoff" not in left
