@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark import Broadcast
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: A word: a run of anything but ASCII white space.
@@ -19,6 +21,11 @@ def vocabulary_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Texts are long: some hundred rows fill an Arrow batch, more only cost memory."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "500")
+
+
 def documents(spark, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
@@ -60,31 +67,47 @@ FILTER_BITS = 25
 _FILTER_HASHES = 3
 
 
-def id_filter(ids: DataFrame, bits: int = FILTER_BITS) -> Callable[[Column], Column]:
-    """A test that every id in the first column of ``ids`` passes, and few others do.
+@dataclass(frozen=True)
+class IdFilter:
+    """A test that every id given to :func:`id_filter` passes, and few others do."""
 
-    It is a Bloom filter of a fixed size, so it can go to all tasks however many
-    ids there are; with too many of them more rows pass, never fewer. It lets
-    large rows be picked without a shuffle of all of them; an exact join of those
-    that pass follows where it matters. Null ids pass as any id does.
-    """
-    size = 1 << bits
+    table: Broadcast
+    size: int
+
+    def places(self, column: Column) -> Column:
+        """Where the filter looks for an id, as an array; :meth:`hits` takes it in a task."""
+        return _places(column, self.size)
+
+    def hits(self, places: pa.ListArray) -> np.ndarray:
+        at = places.flatten().to_numpy()
+        hit = (self.table.value[at >> 6] >> (at & 63).astype(np.uint64)) & np.uint64(1)
+        return hit.reshape(-1, _FILTER_HASHES).all(1)
+
+    def passes(self, column: Column) -> Column:
+        @F.arrow_udf("boolean")
+        def test(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+            for lists in batches:
+                yield pa.array(self.hits(lists))
+
+        return test(self.places(column))
 
-    def places(column: Column) -> Column:
-        return F.array(*[F.pmod(F.xxhash64(F.lit(k), column), F.lit(size)).cast("int") for k in range(_FILTER_HASHES)])
 
-    place = ids.select(F.explode(places(F.col(ids.columns[0]))).alias("p"))
+def _places(column: Column, size: int) -> Column:
+    return F.array(*[F.pmod(F.xxhash64(F.lit(k), column), F.lit(size)).cast("int") for k in range(_FILTER_HASHES)])
+
+
+def id_filter(ids: DataFrame, bits: int = FILTER_BITS) -> IdFilter:
+    """A Bloom filter of the ids in the first column of ``ids``.
+
+    Its size is fixed, so it can go to all tasks however many ids there are;
+    with too many of them more rows pass, never fewer. It lets large rows be
+    picked without a shuffle of all of them; an exact join of those that pass
+    follows where it matters. Null ids pass as any id does.
+    """
+    size = 1 << bits
+    place = ids.select(F.explode(_places(F.col(ids.columns[0]), size)).alias("p"))
     words = place.select(F.shiftright("p", 6).alias("word"), F.expr("shiftleft(1L, p & 63)").alias("bit"))
     found = words.groupBy("word").agg(F.bit_or("bit").alias("bits")).toArrow()
     table = np.zeros(size // 64, np.uint64)
     table[found.column("word").to_numpy()] = found.column("bits").to_numpy().view(np.uint64)
-    shared = ids.sparkSession.sparkContext.broadcast(table)
-
-    @F.arrow_udf("boolean")
-    def passes(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        for lists in batches:
-            at = lists.flatten().to_numpy()
-            hit = (shared.value[at >> 6] >> (at & 63).astype(np.uint64)) & np.uint64(1)
-            yield pa.array(hit.reshape(-1, _FILTER_HASHES).all(1))
-
-    return lambda column: passes(places(column))
+    return IdFilter(ids.sparkSession.sparkContext.broadcast(table), size)

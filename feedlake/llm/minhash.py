@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from feedlake.plans.handoff import written
 
-from .common import id_filter
+from .common import IdFilter, id_filter
 
 BANDS = 32
 ROWS = 4
@@ -42,7 +42,7 @@ STAR_ROUNDS = 2
 #: Shingle sets of one side in a task that compares blocks, about.
 BLOCK = 256
 #: Word hashes a worker remembers before it starts over.
-CACHE_WORDS = 300_000
+CACHE_WORDS = 100_000
 _CHUNK = 1024
 
 
@@ -154,17 +154,19 @@ def estimate_floor(limit: float) -> float:
     return limit - FLOOR_SIGMAS * (limit * (1 - limit) / HASHES) ** 0.5
 
 
-def shingle_sets(df: DataFrame, id_col: str, text_col: str, size: int) -> DataFrame:
-    """``doc_id`` and its shingle hashes."""
+def shingle_sets(df: DataFrame, id_col: str, text_col: str, size: int, wanted: IdFilter) -> DataFrame:
+    """``doc_id`` and shingle hashes of the rows that the filter lets pass."""
 
     def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            batch = batch.filter(pa.array(wanted.hits(batch.column("places"))))
             sets = [shingle_set(t.as_py(), size).view(np.int64) for t in batch.column("text")]
             yield pa.RecordBatch.from_pydict(
                 {"doc_id": batch.column("doc_id"), "shingles": pa.array(sets, pa.list_(pa.int64()))}
             )
 
     narrow = df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    narrow = narrow.withColumn("places", wanted.places(F.col("doc_id")))
     return narrow.mapInArrow(made, "doc_id long, shingles array<long>")
 
 
@@ -229,9 +231,7 @@ def near_duplicates(
 
     def picked_sets(ids: DataFrame) -> DataFrame:
         """The full sets of all texts with these ids, and a few others; the texts are not shuffled."""
-        wanted = id_filter(ids)
-        texts = df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-        return shingle_sets(texts.where(wanted(F.col("doc_id"))), "doc_id", "text", size)
+        return shingle_sets(df, id_col, text_col, size, id_filter(ids))
 
     def confirmed(pairs: DataFrame) -> DataFrame:
         """Those of the pairs that are links, by the full sets of all texts with these ids."""
