@@ -20,6 +20,7 @@ from itertools import chain
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 import tokenizers
 from pyspark.sql import DataFrame
@@ -28,7 +29,7 @@ from pyspark.sql import functions as F
 from .common import free_name, vocabulary_path
 
 #: Matches a worker remembers before it starts over, and the longest one it keeps.
-CACHE_ENTRIES = 200_000
+CACHE_ENTRIES = 150_000
 CACHE_CHARS = 64
 #: Texts encoded before their ids are packed.
 CHUNK = 256
@@ -167,18 +168,25 @@ def encode_texts(
     text_col: str = "text",
     out: str = "ids",
     spans: bool = False,
+    round_trip: bool = False,
 ) -> DataFrame:
     """``df`` with a column ``out``: the token ids of each whole text, as a list of integers.
 
     With ``spans``, ``out`` is a struct of ``ids``, ``starts`` and ``ends``, the
-    latter in code points. Null and empty texts have no tokens. Strings of
+    latter in code points. With ``round_trip`` it is a struct of ``ids`` and
+    ``same``, which says whether decoding gives the text back. Null and empty texts have no tokens. Strings of
     special tokens are ordinary text. Repeated rows are encoded row by row; an
     empty table stays empty. A column named ``out`` is replaced, all others stay.
     """
     path = path or vocabulary_path("byte_bpe_multi_50k.tiktoken")
     kind = "array<int>"
 
-    @F.arrow_udf(f"struct<ids:{kind},starts:{kind},ends:{kind}>" if spans else kind)
+    if spans:
+        result = f"struct<ids:{kind},starts:{kind},ends:{kind}>"
+    else:
+        result = f"struct<ids:{kind},same:boolean>" if round_trip else kind
+
+    @F.arrow_udf(result)
     def encode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         bpe = model(path, pattern)
         for batch in batches:
@@ -191,6 +199,9 @@ def encode_texts(
                 starts = _list_array([a for a, _ in p] for p in places)
                 ends = _list_array([b for _, b in p] for p in places)
                 ids = pa.StructArray.from_arrays([ids, starts, ends], ["ids", "starts", "ends"])
+            elif round_trip:
+                same = pc.equal(bpe.decode_batch(ids), pa.array([t.encode() for t in texts], pa.binary()))
+                ids = pa.StructArray.from_arrays([ids, same], ["ids", "same"])
             yield ids
 
     return _append(df, out, encode(F.col(text_col)))

@@ -8,12 +8,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import byte_bpe, chat, language_id, minhash, mixture, quality, spotsigs, surrogates, token_counts, toxicity
-from .common import count_words, documents, id_remainder
+from .common import count_words, documents, id_remainder, small_batches
 
 TOKEN_LIMIT = 4096
 
 
 def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     docs = documents(spark, sf_dir)
     rest = id_remainder(F.col("doc_id"), 5)
     model = language_id.fit_languages(docs, rest != 0)
@@ -42,6 +43,7 @@ def op2_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     docs = documents(spark, sf_dir).select("doc_id", "text")
     counted = token_counts.count_tokens(docs)
     return counted.select(
@@ -53,6 +55,7 @@ def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     docs = documents(spark, sf_dir).select("doc_id", "text")
     decoded = byte_bpe.decode_ids(byte_bpe.encode_texts(docs))
     return decoded.select(
@@ -64,6 +67,7 @@ def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     docs = documents(spark, sf_dir)
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     rest = id_remainder(F.col("doc_id"), 4)
@@ -112,6 +116,7 @@ def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     return minhash.near_duplicates(documents(spark, sf_dir), size=2, limit=0.8)
 
 
