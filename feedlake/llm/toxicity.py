@@ -58,7 +58,7 @@ class ToxicityModel:
         return 1 / (1 + math.exp(-max(-700.0, min(700.0, odds))))
 
 
-def _fit_arrays(starts: np.ndarray, ids: np.ndarray, shares: np.ndarray, labels: np.ndarray) -> tuple[np.ndarray, float]:
+def _fit_arrays(starts: np.ndarray, ids: np.ndarray, labels: np.ndarray) -> tuple[np.ndarray, float]:
     """Train on bags in CSR form; returns the value of each bucket and the bias."""
     rng = np.random.default_rng(7)
     size = 1 << BITS
@@ -82,7 +82,8 @@ def _fit_arrays(starts: np.ndarray, ids: np.ndarray, shares: np.ndarray, labels:
             ends = np.cumsum(lengths)
             owner = np.repeat(np.arange(len(rows)), lengths)
             pick = np.arange(ends[-1]) + np.repeat(starts[rows] - (ends - lengths), lengths)
-            bucket, share = ids[pick], shares[pick][:, None]
+            bucket = ids[pick].astype(np.int32)
+            share = np.repeat((1 / (lengths + NEUTRAL)).astype(np.float32), lengths)[:, None]
             hidden = np.add.reduceat(table[bucket] * share, ends - lengths)
             logits = hidden @ weights + bias
             logits -= logits.max(1, keepdims=True)
@@ -147,11 +148,12 @@ def fit_toxicity(
     # a fixed order, so that a rerun fits the same model wherever the rows came from
     content = np.add.reduceat(flat.astype(np.int64), begins[:-1])
     order = np.lexsort((flat[begins[:-1]], content, np.diff(begins), labels_of))
-    lengths = np.diff(begins)[order]
-    starts = np.concatenate(([0], np.cumsum(lengths)))
-    pick = np.arange(starts[-1]) + np.repeat(begins[:-1][order] - starts[:-1], lengths)
-    shares = np.repeat((1 / (lengths + NEUTRAL)).astype(np.float32), lengths)
-    values, bias = _fit_arrays(starts, flat[pick], shares, labels_of[order])
+    starts = np.concatenate(([0], np.cumsum(np.diff(begins)[order])))
+    # there are 2^16 buckets, so two bytes hold one
+    ids = np.concatenate([flat[begins[k] : begins[k + 1]].astype(np.uint16) for k in order])
+    labels_of = labels_of[order]
+    del found, lists, flat
+    values, bias = _fit_arrays(starts, ids, labels_of)
     return ToxicityModel(values.astype(np.float32), bias)
 
 
