@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from feedlake.llm import byte_bpe, minhash, mixture, surrogates, toxicity
-from feedlake.llm.common import count_words, documents, free_name, id_filter, id_remainder
+from feedlake.llm.common import count_words, documents, free_name, id_filter, id_remainder, small_batches
 from feedlake.plans.handoff import written
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
@@ -26,6 +26,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     The classifier learns from the labels of three quarters of the ids.
     """
+    small_batches(spark)
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     model = toxicity.fit_toxicity(docs, labels, id_remainder(F.col("doc_id"), 4) != 2)
     score = free_name(docs, "__score")
@@ -39,13 +40,14 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     Of rows that share an id one stays, the one whose text is smallest. Empty
     texts and rows without id are no duplicates of anything.
     """
+    small_batches(spark)
     found = written(minhash.near_duplicates(docs, size=SHINGLE, limit=SIMILARITY))
     gone = free_name(docs, "__gone")
     ids = F.col("doc_id").cast("long")
     dropped = written(found.where("NOT kept").select(F.col("doc_id").alias(gone)).distinct())
     # only documents that may be dropped are shuffled to find out
     hit = free_name(docs, "__hit")
-    marked = docs.withColumn(hit, id_filter(dropped)(ids))
+    marked = docs.withColumn(hit, id_filter(dropped).passes(ids))
     unsure = marked.where(F.col(hit)).join(dropped, ids == F.col(gone), "left_anti")
     kept = marked.where(~F.col(hit)).unionByName(unsure).select(*docs.columns)
     repeated = found.where("kept AND doc_id IS NOT NULL").groupBy(F.col("doc_id").alias(gone)).agg(F.count("*").alias("n"))
@@ -71,10 +73,11 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents with their token ids, how many, and whether decoding gives the text back."""
-    decoded = free_name(docs, "__decoded")
-    both = byte_bpe.decode_ids(byte_bpe.encode_texts(docs, out="ids"), ids_col="ids", out=decoded)
-    same = F.col(decoded) == F.coalesce(F.col("text"), F.lit("")).cast("binary")
-    return both.withColumn("n_tokens", F.size("ids").cast("long")).withColumn("round_trip", same).drop(decoded)
+    small_batches(spark)
+    made = free_name(docs, "__made")
+    both = byte_bpe.encode_texts(docs, out=made, round_trip=True)
+    found = {"ids": F.col(f"{made}.ids"), "n_tokens": F.size(f"{made}.ids").cast("long"), "round_trip": F.col(f"{made}.same")}
+    return both.withColumns(found).drop(made)
 
 
 STAGES: list[tuple[str, Stage]] = [
