@@ -161,4 +161,40 @@ SELECT conv_id,
 FROM turns GROUP BY conv_id
 """
 
-ORACLES: dict[str, str] = {"op10_chat": _OP10}
+# Documents of a source in hash order; the threshold is where the running sum passes what whole epochs leave over.
+_OP7 = r"""
+WITH d AS (
+  SELECT doc_id, source, CAST(coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS BIGINT) AS size,
+         CAST('0x' || substr(md5('mix|' || coalesce(CAST(doc_id AS VARCHAR), text, '')), 1, 12) AS BIGINT) AS h
+  FROM documents
+), s AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM d GROUP BY source
+), n AS (
+  SELECT *, [5.0::DOUBLE, 2.0::DOUBLE, 1.0::DOUBLE][(row_number() OVER (ORDER BY source IS NULL, source) - 1) % 3 + 1] AS w,
+         source_size * 3.0::DOUBLE AS cap FROM s
+), o AS (
+  SELECT *, (CAST(sum(source_size) OVER () AS DOUBLE) - coalesce(sum(cap) OVER (ORDER BY cap / w, source IS NULL, source
+              ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)) /
+            sum(w) OVER (ORDER BY cap / w, source IS NULL, source ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level
+  FROM n
+), t AS (
+  SELECT source, source_size,
+         least(cap, w * (SELECT level FROM o WHERE level * w <= cap ORDER BY cap / w, source IS NULL, source LIMIT 1)) AS target
+  FROM o
+), e AS (
+  SELECT *, CASE WHEN source_size > 0 THEN CAST(floor(target / source_size) AS BIGINT) ELSE 0 END AS epochs FROM t
+), r AS (SELECT *, target - epochs * source_size AS rest FROM e
+), c AS (
+  SELECT source, h, sum(size) AS edge, sum(sum(size)) OVER (PARTITION BY source ORDER BY h) AS upto FROM d GROUP BY source, h
+), b AS (
+  SELECT r.source, arg_min(c.h, c.h) AS at, arg_min(c.edge, c.h) AS edge, arg_min(c.upto, c.h) AS upto
+  FROM c JOIN r ON c.source IS NOT DISTINCT FROM r.source WHERE c.upto >= r.rest GROUP BY r.source
+), l AS (
+  SELECT r.*, b.at + CASE WHEN 2 * (r.rest - (b.upto - b.edge)) >= b.edge THEN 1 ELSE 0 END AS bound
+  FROM r LEFT JOIN b ON r.source IS NOT DISTINCT FROM b.source
+)
+SELECT d.doc_id, d.size, l.source_size, l.target, d.source, k.copies, d.size * k.copies AS taken
+FROM d JOIN l ON d.source IS NOT DISTINCT FROM l.source,
+     LATERAL (SELECT CASE WHEN l.source_size > 0 THEN least(l.epochs + CASE WHEN d.h < l.bound THEN 1 ELSE 0 END, 3) ELSE 0 END AS copies) k
+"""
+
+ORACLES: dict[str, str] = {"op7_mixture": _OP7, "op10_chat": _OP10}
