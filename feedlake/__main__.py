@@ -58,7 +58,8 @@ def main() -> None:
     for table, rows in sorted(result.tables.items()):
         print(f"{table}: {rows} rows")
     print(f"{result.status}: {result.published} published, ", end="")
-    print(f"{result.held_back} held back, {result.rejected} rejected")
+    print(f"{result.held_back} held back, {result.rejected} rejected, ", end="")
+    print(f"{result.dropped} dropped because they name their feed")
     if result.rejects is not None:
         print("rejects:", *sorted({path.rsplit("/", 1)[0] for path in result.rejects.inputFiles()}))
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from feedlake.constants import DAY_FORMAT, FEED_PREFIXES, HDR, SINGLE_TYPE_FEEDS
@@ -115,16 +115,21 @@ def feed_details(headers: DataFrame, prefixes: Mapping[str, str] = FEED_PREFIXES
     )
 
 
-def tag_lines(df: DataFrame, anchored: bool = False) -> DataFrame:
+def tag_lines(
+    df: DataFrame, anchored: bool = False, dropped: Observation | None = None
+) -> DataFrame:
     """Record types of the lines of feeds of both kinds, without their headers, in one pass.
 
     Same rows and record types as ``tag_single`` + ``strip_header_contains``
     for single-type feeds and ``tag_multi`` + ``strip_header_type`` for others
-    (see ``feed_details`` for ``lead``). The line stays whole.
+    (see ``feed_details`` for ``lead``). The line stays whole. ``dropped`` counts
+    the lines that go because they name the feed, without being headers (``named``).
     """
     single, feed = F.col("lead") == 0, F.col("feed")
     recordtype = F.when(single, feed).otherwise(first_field(F.col("value")))
     header = F.when(single, _names_feed(anchored)).otherwise(recordtype == feed)
+    if dropped is not None:
+        df = df.observe(dropped, F.count_if(single & header & ~_names_feed(True)).alias("named"))
     return df.where(~header).withColumn("recordtype", recordtype)
 
 

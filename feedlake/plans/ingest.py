@@ -147,6 +147,8 @@ class LoadResult:
     rejected: int
     tables: dict[str, int]
     rejects: DataFrame | None
+    # lines of single-type feeds that went because they name the feed, though they are no headers
+    dropped: int = 0
 
 
 # --- arrival ---------------------------------------------------------------------------------
@@ -207,6 +209,7 @@ def bronze_lines(
     headers: DataFrame,
     schemas: Mapping[str, RecordSchema],
     cfg: LoadConfig,
+    dropped: Observation | None = None,
 ) -> DataFrame:
     """All body lines with their record type, width, unfit date columns and reject reason.
 
@@ -220,7 +223,7 @@ def bronze_lines(
         broken = F.col("file_name").contains(REPAIR_NAME_PART)
         lines = lines.withColumn("value", F.when(broken, repaired).otherwise(F.col("value")))
     lines = lines.select("file", "value")
-    tagged = tag_lines(attach_header(lines, headers), cfg.anchored_headers)
+    tagged = tag_lines(attach_header(lines, headers), cfg.anchored_headers, dropped)
 
     slots = _slots(schemas)
     table = from_driver(
@@ -513,6 +516,7 @@ def queue_rows(
 class _Totals:
     held_back: int = 0
     rejected: int = 0
+    dropped: int = 0
     tables: dict[str, int] = field(default_factory=dict)
     rejects: list[DataFrame] = field(default_factory=list)
     # files with rejected or held-back lines
@@ -549,7 +553,10 @@ def _load_feeds(
         return
 
     schemas = {k: RecordSchema.of(k, v, cfg.exclude_columns) for k, v in entries.items()}
-    bronze = write_bronze(bronze_lines(spark, paths, headers, schemas, cfg), f"{cfg.work}/bronze")
+    dropped = Observation()
+    lines = bronze_lines(spark, paths, headers, schemas, cfg, dropped)
+    bronze = write_bronze(lines, f"{cfg.work}/bronze")
+    totals.dropped += dropped.get["named"]
     verdicts = judge_bronze(bronze, f"{cfg.work}/verdicts")
     day = plan_day(verdicts, schemas, cfg)
     totals.held_back += day.held_back
@@ -652,7 +659,14 @@ def _load(spark: SparkSession, cfg: LoadConfig, ledger: Ledger, task_id: str) ->
     ledger.append_files(fresh, task_id, cfg.syncday)
     published = sum(totals.tables.values())
     return LoadResult(
-        task_id, status, published, totals.held_back, totals.rejected, totals.tables, rejects
+        task_id,
+        status,
+        published,
+        totals.held_back,
+        totals.rejected,
+        totals.tables,
+        rejects,
+        totals.dropped,
     )
 
 

@@ -156,6 +156,7 @@ def test_counts(spark, day):
 
 def test_body_naming_the_feed_is_dropped(spark, day):
     assert of(day[0].table(spark, WORKFLOW), "n", "step") == [("n1", "S1")]
+    assert day[1].dropped == 1
 
 
 def test_short_rows_are_padded_and_broken_groups_left_out(spark, day):
