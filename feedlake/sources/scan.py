@@ -18,8 +18,14 @@ from feedlake.plans.handoff import fresh_folder
 OVERFLOW = "_overflow"
 _ODD = "_odd_line"
 
-# Larger than any file: a file is not cut in a header read.
+# Splits are as large as the smaller of the largest split and of what opening a
+# file is said to cost, so both are larger than any file.
 _WHOLE_FILE = str(1 << 62)
+_UNCUT = {
+    "spark.sql.files.maxPartitionBytes": _WHOLE_FILE,
+    "spark.sql.files.openCostInBytes": _WHOLE_FILE,
+    "spark.sql.files.minPartitionNum": "1",
+}
 # Header reads that share one plan.
 _READS = 200
 
@@ -62,7 +68,8 @@ def _session_of_whole_files(spark: SparkSession) -> SparkSession:
     for name, value in spark.conf.getAll.items():
         if session.conf.isModifiable(name):
             session.conf.set(name, value)
-    session.conf.set("spark.sql.files.maxPartitionBytes", _WHOLE_FILE)
+    for name, value in _UNCUT.items():
+        session.conf.set(name, value)
     return session
 
 
@@ -74,7 +81,8 @@ def sniff_first_lines(
     Each file is read under a limit of one row, as one partition, and the reader
     stops once it has that row: the cost is one small read per file, whatever
     its size. Files are read some hundred at a time; the result is written. A
-    single text is a folder, or a file.
+    single text is a folder, or a file. Should a file be cut all the same, a line
+    from behind its first piece is not trusted: such files are scanned.
     """
     session = _session_of_whole_files(spark)
     if isinstance(paths, str):
@@ -82,7 +90,7 @@ def sniff_first_lines(
     parts = []
     for at in range(0, len(paths), _READS):
         reads = [
-            scan_lines(session, path, trim).limit(1).select("file", "value")
+            scan_lines(session, path, trim).limit(1).select("file", "value", "block_start")
             for path in paths[at : at + _READS]
         ]
         part = fresh_folder(spark, "firsts")
@@ -90,7 +98,17 @@ def sniff_first_lines(
         parts.append(part)
     if not parts:
         return spark.createDataFrame([], "file string, value string")
-    return spark.read.schema("file string, value string").parquet(*parts)
+    firsts = spark.read.schema("file string, value string, block_start long").parquet(*parts)
+    # whatever piece of a cut file gave its line first, only one of the first piece is surely the first
+    unsure = [row.file for row in firsts.where("block_start > 0").select("file").collect()]
+    if not unsure:
+        return firsts.select("file", "value")
+    lines = scan_lines(spark, unsure, trim).withColumn("at", F.monotonically_increasing_id())
+    scanned = lines.groupBy("file").agg(F.min_by("value", F.struct("block_start", "at")).alias("value"))
+    part = fresh_folder(spark, "firsts")
+    scanned.write.parquet(part)
+    sure = firsts.where("block_start = 0").select("file", "value")
+    return sure.unionByName(spark.read.schema("file string, value string").parquet(part))
 
 
 def scan_delimited(

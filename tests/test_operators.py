@@ -176,6 +176,36 @@ def test_header_read_keeps_settings_made_at_run_time(spark):
     assert session.conf.get("spark.sql.session.timeZone") == spark.conf.get("spark.sql.session.timeZone")
 
 
+def test_header_read_does_not_cut_files(spark, landing):
+    landing.drop("Large_20240115.pgp", PLAIN_HEADER, *(["ACT|a1||" + "C" * 90] * 200_000))
+    path = str(landing.root / "first" / "Large_20240115.pgp")
+    assert scan_lines(spark, path).rdd.getNumPartitions() > 1
+    assert scan_lines(scan._session_of_whole_files(spark), path).rdd.getNumPartitions() == 1
+
+
+def test_header_read_takes_the_first_piece_of_a_cut_file(spark, many_lines, monkeypatch):
+    many_lines.drop("Late_20240115.pgp", *([" "] * 3_000), "HDR|WorkflowReturnFile|20240115y", "a1||S1")
+    folder = str(many_lines.root / "first")
+
+    def last_pieces_first(session, paths, trim=False):
+        lines = scan_lines(session, paths, trim)
+        return lines.where("block_start > 0").unionByName(lines.where("block_start = 0"))
+
+    monkeypatch.setattr(scan, "scan_lines", last_pieces_first)
+    monkeypatch.setattr(scan, "_session_of_whole_files", lambda spark: spark)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4096")
+    try:
+        sniffed = sniff_first_lines(spark, folder).collect()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    # the first piece of the late one is blank
+    assert sorted(row.value for row in sniffed) == [
+        PLAIN_HEADER,
+        "HDR|WorkflowReturnFile|20240115x",
+        "HDR|WorkflowReturnFile|20240115y",
+    ]
+
+
 def test_registry_with_a_repeated_name_is_refused(spark):
     for names in (["a", "b", "a"], ["a", "A:bigint"]):
         registry = spark.createDataFrame([("k", names)], "key string, names array<string>")
