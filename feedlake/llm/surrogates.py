@@ -40,7 +40,30 @@ SYLLABLES = {
     "greek": "βα βε βο γα γε γο δα δε δο κα κε κο λα λε λο μα με μο να νε νο ρα ρε ρο σα σε σο τα τε το".split(),
 }
 
+# Lower-case words inside names. After a German name an article is the next phrase's, so there it needs "von" or the like before it.
+PARTICLES = "von vom van zu zum zur ter ten 't de del della delle dei degli dello di da do dos du la las le les lo los el al bin ibn ben bint abu af av y фон ван де да ди дер ντε φον βαν".split()
+ARTICLES = "der den dem des das het und in op".split()
+
+
+def _longest_first(words: list[str]) -> str:
+    return "|".join(sorted(words, key=len, reverse=True))
+
+
+def _names(titles: list[str], after_name: list[str]) -> str:
+    """A title and all name words after it: names, initials, and particles with a name after them."""
+    letters = r"(?:[\p{L}\p{M}'-]|’(?=\p{Lu}))"
+    joined = r"(?:(?:d|l|dell|all|al|el|as|ash|ad|an|ar|at|az|de|di|du|la|le)['’-])?"
+    name = rf"{joined}\p{{Lu}}\p{{M}}*{letters}++"
+    one = rf"(?:(?:\p{{Lu}}\.-?)++(?:{name})?|(?:Prof|Dr|St|Ste)\. {name}|{name}|\p{{Lu}}(?= (?:(?:{_ANY}) )*\p{{Lu}}))"
+    first, later = rf"(?:(?:{_ANY}) )*", rf"(?:(?:{_longest_first(after_name)}) (?:(?:{_ANY}) )*)?"
+    return rf"(?:{_longest_first(titles)})\.? {first}{one}(?: {later}{one})*+"
+
+
+_GERMAN = ("Herr", "Herrn", "Frau")
+_ANY = _longest_first([*PARTICLES, *ARTICLES])
 _TITLE = "|".join(t for names in TITLES.values() for t in sorted(names, key=len, reverse=True))
+_OTHERS = [t for names in TITLES.values() for t in names if t not in _GERMAN]
+_PERSON = rf"(?<!\p{{L}})(?:{_names(list(_GERMAN), PARTICLES)}|{_names(_OTHERS, PARTICLES + ['der', 'den', 'das', 'het'])})"
 _SECRET = r"(?:[Pp]assword|[Pp]asswd|[Pp]wd|[Ss]ecret|[Tt]oken|[Aa]pi_?[Kk]ey|PASSWORD|SECRET|TOKEN|API_KEY)\s{0,3}[=:]\s{0,3}[\"']?"
 #: What is looked for, in this order; the first kind that matches at a place counts.
 PATTERNS = {
@@ -53,7 +76,7 @@ PATTERNS = {
     "phone": r"(?<![\p{L}\p{N}+])(?:\+[0-9]{1,3}[ .-]?)?(?:\([0-9]{2,4}\)[ .-]?[0-9]{3,4}[ .-]?[0-9]{3,4}|[0-9]{3}[.-][0-9]{3}[.-][0-9]{4})(?!\p{N})"
     r"|(?<![\p{L}\p{N}+])\+[0-9]{1,3}(?:[ .-]?[0-9]{2,4}){2,4}(?!\p{N})",
     "card": r"(?<!\p{N})[0-9](?:[ -]?[0-9]){12,18}(?!\p{N})",
-    "person": rf"(?<!\p{{L}})(?:{_TITLE})\.? \p{{Lu}}[\p{{L}}'-]++(?: \p{{Lu}}[\p{{L}}'-]++)?",
+    "person": _PERSON,
 }
 ENTITY = "|".join(f"(?:{p})" for p in PATTERNS.values())
 #: Texts without any of these have no entity; they are most, and are not searched further.
@@ -161,40 +184,57 @@ def _script(word: Column) -> Column:
 
 
 def _person(value: Column, key: Column, attempt: Column) -> Column:
-    """Title kept; given name of the same gender and script; family name of syllables, by the family name alone."""
-    parts = F.split(value, " ")
+    """Title and particles kept; given names of the same gender and script, initials for initials; family name of syllables, by the family name alone.
+
+    The last word is the family name, all others that are no particles are given names.
+    """
+    return let(F.split(value, " "), lambda parts: _person_of(parts, key, attempt))
+
+
+def _person_of(parts: Column, key: Column, attempt: Column) -> Column:
     title = parts[0]
-    female = F.regexp_replace(title, r"\.$", "").isin(*TITLES["f"])
-    family, given = F.element_at(parts, -1), F.when(F.size(parts) > 2, parts[1])
-
-    def pick(word: Column, lists: dict, label: str) -> Column:
-        stream = _digest(key, F.lit(label), word)
-        found = F.lit(None).cast("string")
-        for script in SYLLABLES:
-            names = F.when(
-                female, F.element_at(F.array(*map(F.lit, lists[script, "f"])), _number(stream, F.lit(1), len(lists[script, "f"])) + 1)
-            ).otherwise(F.element_at(F.array(*map(F.lit, lists[script, "m"])), _number(stream, F.lit(1), len(lists[script, "m"])) + 1))
-            found = F.when(_script(word) == script, names).otherwise(found)
+    gender = F.when(F.regexp_replace(title, r"\.$", "").isin(*TITLES["f"]), "f").otherwise("m")
+    family, middle = F.element_at(parts, -1), F.slice(parts, 2, F.size(parts) - 2)
+    particle = f"^(?:{_ANY})$"
+    given = F.array_join(F.filter(middle, lambda w: ~w.rlike(particle)), " ")
+
+    def of_script(word: Column, lists: dict) -> Column:
+        found = F.lit(None).cast("array<string>")
+        for script, known in lists.items():
+            found = F.when(_script(word) == script, F.array(*map(F.lit, known))).otherwise(found)
         return found
 
+    def pick(word: Column) -> Column:
+        men, women = ({script: known for (script, g), known in GIVEN.items() if g == x} for x in "mf")
+        names = F.when(gender == "f", of_script(word, women)).otherwise(of_script(word, men))
+        number = _number(_digest(key, F.lit("given"), word), F.lit(1), 1 << 16)
+        return let(names, lambda n: F.element_at(n, (number % F.size(n)).cast("int") + 1))
+
     def syllables(word: Column, tries: Column, count: Column) -> Column:
-        stream = _stream(F.lit(32), key, F.lit("syllables"), word, tries)
-        found = F.lit(None).cast("string")
-        for script, known in SYLLABLES.items():
-            letters = F.array(*map(F.lit, known))
-            chosen = F.transform(
-                F.sequence(F.lit(1), count.cast("int")), lambda i: F.element_at(letters, _number(stream, i * 4, len(known)) + 1)
-            )
-            found = F.when(_script(word) == script, F.initcap(F.array_join(chosen, ""))).otherwise(found)
-        return found
+        both = F.struct(_stream(F.lit(32), key, F.lit("syllables"), word, tries).alias("s"), of_script(word, SYLLABLES).alias("l"))
+
+        def chosen(b: Column) -> Column:
+            each = F.sequence(F.lit(1), count.cast("int"))
+            return F.transform(each, lambda i: F.element_at(b["l"], (_number(b["s"], i * 4, 1 << 16) % F.size(b["l"])).cast("int") + 1))
+
+        return F.initcap(F.array_join(let(both, chosen), ""))
+
+    def replaced(word: Column) -> Column:
+        letter = F.substr(F.lit("ABCDEFGHIJKLMNOPQRSTUVWXYZ"), _number(_digest(key, F.lit("initial"), word), F.lit(1), 26) + 1, F.lit(1))
+        return (
+            F.when(word.rlike(particle), word)
+            .when(word.rlike(r"^(?:\p{Lu}|(?:\p{Lu}\.-?)+)$"), F.concat(letter, F.when(word.endswith("."), ".").otherwise("")))
+            .otherwise(pick(word))
+        )
 
     tries = attempt.cast("int")
-    # more people of one family than given names: the later ones get a second one, the family stays
+    # more people of one family than given names: the later ones get a second one after the first, the family stays
     second = F.when(tries > 0, F.concat(F.lit("-"), syllables(given, attempt, F.lit(3)))).otherwise("")
-    made = F.when(given.isNotNull(), F.concat(pick(given, GIVEN, "given"), second))
-    again = F.when(given.isNull(), attempt).otherwise("0")
-    size = F.when(given.isNull(), 3 + F.floor(tries / GROWS)).otherwise(3)
-    return F.concat_ws(" ", title, made, syllables(family, again, size))
+    longer = F.array_position(F.transform(middle, lambda w: w.rlike(particle)), F.lit(False))
+    made = F.transform(middle, lambda w, i: F.concat(replaced(w), F.when(i + 1 == longer, second).otherwise("")))
+    again = F.when(given == "", attempt).otherwise("0")
+    size = F.when(given == "", 3 + F.floor(tries / GROWS)).otherwise(3)
+    return F.array_join(F.concat(F.array(title), made, F.array(syllables(family, again, size))), " ")
 
 
 def surrogate_of(kind: Column, canonical: Column, attempt: Column, key: str) -> Column:

@@ -109,6 +109,50 @@ def test_surrogates(odd, nothing):
     assert surrogates.replace_entities(nothing, "k").count() == 0
 
 
+PERSONS = [
+    "Mr Smith",
+    "Mr John Paul Smith",
+    "Mr John F. Kennedy",
+    "Mr. J. R. R. Tolkien",
+    "Mr J.-P. Sartre",
+    "Mr Harry S Truman",
+    "Mr J. Smith",
+    "Señora María García López",
+    "Señora María de la Cruz",
+    "Herr von Braun",
+    "Frau Anna von der Leyen",
+    "Mr Vincent van den Berg",
+    "Mr O’Brien",
+    "Mr Jean d'Alembert",
+    "Frau Dr. Weber",
+    "господин Иван Петрович Сидоров",
+]
+
+
+def test_all_words_of_a_person_are_replaced(spark):
+    df = spark.createDataFrame([(k, f"then {p} left.") for k, p in enumerate(PERSONS)], "doc_id long, text string")
+    for r in surrogates.replace_entities(df, "k", found_col="found").collect():
+        assert [f.kind for f in r.found] == ["person"] and r.text == f"then {r.found[0].surrogate} left."
+        old, new = PERSONS[r.doc_id].split(), r.found[0].surrogate.split()
+        assert len(old) == len(new) and old[0] == new[0]
+        for a, b in zip(old[1:], new[1:], strict=True):
+            assert (a == b) == a.islower() or len(a) <= 2 and b[1:] == a[1:]
+
+
+def test_persons_end_where_their_names_end(spark):
+    texts = ["Mr Smith. The end", "Mr Smith and Mrs Lee", "Herr Braun den Brief", "Mr Smith, John", "Frau Lang der Firma"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: [e.entity for e in r.e] for r in df.select("doc_id", surrogates.detect(F.col("text")).alias("e")).collect()}
+    assert got == {0: ["Mr Smith"], 1: ["Mr Smith", "Mrs Lee"], 2: ["Herr Braun"], 3: ["Mr Smith"], 4: ["Frau Lang"]}
+
+
+def test_a_family_keeps_its_surrogate(spark):
+    texts = ["Mr Smith", "Mr John Smith", "Mr John Paul Smith", "Mrs A. B. Smith", "Mr John von Smith"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = [r.text for r in surrogates.replace_entities(df, "k").collect()]
+    assert len(set(got)) == len(texts) and len({t.split()[-1] for t in got}) == 1
+
+
 def test_surrogates_do_not_collide(spark):
     texts = [(k, f"call Mrs {chr(65 + k % 26)}a{chr(97 + k // 26)}i Zed or {k % 10}.{k // 10 % 10}.{k // 100}.1 pwd={k:04d}") for k in range(150)]
     df = spark.createDataFrame(texts, "doc_id int, text string")
