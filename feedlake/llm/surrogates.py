@@ -80,7 +80,7 @@ PATTERNS = {
 }
 ENTITY = "|".join(f"(?:{p})" for p in PATTERNS.values())
 #: Texts without any of these have no entity; they are most, and are not searched further.
-_HINT = rf"[0-9@=:]|(?:{_TITLE})\.? "
+_HINT = rf"[0-9@=:]|A[KS]IA|gh[pousr]_|sk-|(?:{_TITLE})\.? "
 #: From this attempt on a surrogate grows, so that a small space of formats cannot be used up.
 GROWS = 8
 ALPHANUMERIC = ("card", "phone", "ssn", "iban")

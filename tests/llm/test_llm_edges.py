@@ -153,6 +153,15 @@ def test_a_family_keeps_its_surrogate(spark):
     assert len(set(got)) == len(texts) and len({t.split()[-1] for t in got}) == 1
 
 
+def test_the_hint_loses_no_entity(spark):
+    keys = ["AKIA" + "ABCDEFGHIJKLMNOP", "ASIA" + "QRSTUVWXYZABCDEF", "ghp_" + "a" * 36, "sk-" + "b" * 20]
+    texts = [*keys, "pwd=abcd", "ana@example.org", "Mr Smith", "nothing"]
+    df = spark.createDataFrame([(f"it is {t}",) for t in texts], "text string")
+    whole = F.regexp_extract_all("text", F.lit(surrogates.ENTITY), F.lit(0))
+    got = df.select("text", surrogates.detect(F.col("text"))["entity"].alias("hinted"), whole.alias("whole")).collect()
+    assert all(r.hinted == r.whole == ([] if "nothing" in r.text else [r.text[6:]]) for r in got)
+
+
 def test_surrogates_do_not_collide(spark):
     texts = [(k, f"call Mrs {chr(65 + k % 26)}a{chr(97 + k // 26)}i Zed or {k % 10}.{k // 10 % 10}.{k // 100}.1 pwd={k:04d}") for k in range(150)]
     df = spark.createDataFrame(texts, "doc_id int, text string")
