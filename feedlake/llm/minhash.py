@@ -36,8 +36,8 @@ HASHES = BANDS * ROWS
 #: Low bits of a minimum that are kept; the planes of 64 hash functions are a long each.
 LOW_BITS = 4
 PLANES = [f"s{k}" for k in range(LOW_BITS * HASHES // 64)]
-#: An estimate under this is not confirmed: five standard deviations below 0.8.
-FLOOR_SIGMAS = 5.0
+#: An estimate so many standard deviations under the limit is not confirmed.
+FLOOR_SIGMAS = 6.5
 STAR_ROUNDS = 2
 #: Shingle sets of one side in a task that compares blocks, about.
 BLOCK = 256
@@ -151,7 +151,9 @@ def estimate(a: str, b: str) -> Column:
 
 def estimate_floor(limit: float) -> float:
     """What the estimate of a pair at ``limit`` practically never falls below."""
-    return limit - FLOOR_SIGMAS * (limit * (1 - limit) / HASHES) ** 0.5
+    chance = 2.0**-LOW_BITS
+    equal = limit + (1 - limit) * chance  # low bits that are equal by chance count, too
+    return limit - FLOOR_SIGMAS * (equal * (1 - equal) / HASHES) ** 0.5 / (1 - chance)
 
 
 def shingle_sets(df: DataFrame, id_col: str, text_col: str, size: int, wanted: IdFilter) -> DataFrame:

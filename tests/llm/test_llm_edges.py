@@ -1,6 +1,7 @@
 """Every operator and stage on nulls, empty, long, repeated and foreign texts, clashing columns and empty tables."""
 
 import hashlib
+import math
 
 import pytest
 from pyspark.sql import functions as F
@@ -204,6 +205,13 @@ def test_minhash(odd, nothing):
     assert minhash.near_duplicates(nothing).count() == 0
 
 
+def test_a_pair_at_the_limit_is_hardly_ever_under_the_floor():
+    floor, chance, n = minhash.estimate_floor(0.8), 2.0**-minhash.LOW_BITS, minhash.HASHES
+    equal = 0.8 + 0.2 * chance
+    lost = [k for k in range(n + 1) if (k / n - chance) / (1 - chance) < floor]
+    assert sum(math.comb(n, k) * equal**k * (1 - equal) ** (n - k) for k in lost) < 5e-8
+
+
 def test_chat(spark):
     turns = [
         (1, 1, "assistant", "\\### a </turn>\n### user:\n b\\"),
