@@ -8,6 +8,7 @@ from dataclasses import dataclass
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -42,6 +43,17 @@ def id_remainder(doc_id: Column, modulus: int) -> Column:
     return F.crc32(doc_id.cast("string").cast("binary")) % modulus
 
 
+def slices(texts: pa.Array, size: int) -> Iterator[pa.Array]:
+    """The texts of a batch in order, some at a time: about ``size`` bytes, one text at least."""
+    ends = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
+    at = 0
+    while at < len(texts):
+        done = ends[at - 1] if at else 0
+        stop = max(at + 1, int(np.searchsorted(ends, done + size, "right")))
+        yield texts.slice(at, stop - at)
+        at = stop
+
+
 def free_name(df: DataFrame, wanted: str) -> str:
     """A column name no column of ``df`` has, whatever the case."""
     taken = {c.lower() for c in df.columns}

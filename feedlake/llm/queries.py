@@ -4,10 +4,24 @@ from __future__ import annotations
 
 import json
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_bpe, chat, language_id, minhash, mixture, quality, spotsigs, surrogates, token_counts, toxicity
+from . import (
+    byte_bpe,
+    chat,
+    language_id,
+    minhash,
+    mixture,
+    quality,
+    resampling,
+    secret_scan,
+    spotsigs,
+    surrogates,
+    token_counts,
+    toxicity,
+    whitening,
+)
 from .common import count_words, documents, id_remainder, small_batches
 
 TOKEN_LIMIT = 4096
@@ -142,7 +156,63 @@ def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {f.__name__: f for f in (op1_language_id, op2_fingerprints, op3_token_counts, op4_byte_bpe, op5_toxicity, op6_surrogates, op7_mixture, op8_quality, op9_minhash, op10_chat)}
+def op11_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    small_batches(spark)
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    found = secret_scan.find_secrets(docs, out="found")
+    kinds = [rule.kind for rule in secret_scan.BASE]
+
+    def count(kind: str) -> Column:
+        return F.size(F.filter("found", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    base = F.filter("found", lambda s: s["kind"].isin(kinds))
+    return found.select(
+        "doc_id", *map(count, kinds), F.sha2(secret_scan.listed(base), 256).alias("base_sha256"), secret_scan.listed(F.col("found")).alias("spans")
+    )
+
+
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+    model = whitening.fit_whitening(vectors)
+    rows = whitening.whiten(vectors.select("vec_id", "embedding"), model, out="found")
+    explained = F.array(*[F.lit(float(v)) for v in model.explained]).cast("array<double>")
+    each = rows.select("vec_id", "found.deviation", F.posexplode("found.whitened").alias("k", "whitened"))
+    return each.select(
+        "vec_id",
+        (F.col("k") + 1).alias("component"),
+        F.lit(model.n).cast("long").alias("n"),
+        "deviation",
+        "whitened",
+        F.get(explained, F.col("k")).alias("explained"),
+        F.lit(model.identity_error).alias("identity_error"),
+    )
+
+
+def op13_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    small_batches(spark)
+    benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    drawn = resampling.resample(documents(spark, sf_dir), benchmark, longest=1, buckets=10_000, percent=10, least_words=20, seed=2024)
+    return drawn.select("doc_id", "n_features", "weight", "score", "rank")
+
+
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_language_id,
+        op2_fingerprints,
+        op3_token_counts,
+        op4_byte_bpe,
+        op5_toxicity,
+        op6_surrogates,
+        op7_mixture,
+        op8_quality,
+        op9_minhash,
+        op10_chat,
+        op11_secret_scan,
+        op12_whitening,
+        op13_resampling,
+    )
+}
 
 # Texts are written with a character more for each one that the template escapes.
 _OP10 = r"""
@@ -197,4 +267,80 @@ FROM d JOIN l ON d.source IS NOT DISTINCT FROM l.source,
      LATERAL (SELECT CASE WHEN l.source_size > 0 THEN least(l.epochs + CASE WHEN d.h < l.bound THEN 1 ELSE 0 END, 3) ELSE 0 END AS copies) k
 """
 
-ORACLES: dict[str, str] = {"op7_mixture": _OP7, "op10_chat": _OP10}
+
+# Every match is marked in the text; a match begins where all that stands before it, without marks, ends.
+_SECRETS = (
+    ("assign", 8, """([Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd]|[Pp][Aa][Ss][Ss][Ww][Dd]|[Ss][Ee][Cc][Rr][Ee][Tt]|[Tt][Oo][Kk][Ee][Nn]|[Aa][Pp][Ii]_?[Kk][Ee][Yy])["'']?\\x20*[:=]\\x20*["'']?""", "[A-Za-z0-9+/_.=-]+"),
+    ("access", 12, "AKIA", "[A-Z0-9]+"),
+    ("hex", 32, "", "[0-9a-f]+"),
+    ("temporary_access", 12, "ASIA", "[A-Z0-9]+"),
+    ("github", 36, "gh[pousr]_", "[A-Za-z0-9]+"),
+    ("slack", 10, "xox[abprs]-", "[A-Za-z0-9-]+"),
+    ("google", 35, "AIza", "[A-Za-z0-9_-]+"),
+    ("stripe", 16, "[rs]k_(live|test)_", "[A-Za-z0-9]+"),
+    ("jwt", 8, "eyJ[A-Za-z0-9_-]+[.]eyJ[A-Za-z0-9_-]+[.]", "[A-Za-z0-9_-]+"),
+    ("private_key", 1, "-----BEGIN ", "([A-Z0-9]+ )*PRIVATE KEY-----"),
+)
+_OP11 = (
+    "WITH d AS (SELECT row_number() OVER () AS row, doc_id, coalesce(text, '') AS text FROM documents), p AS ("
+    + " UNION ALL ".join(
+        f"SELECT row, {k} AS k, '{kind}' AS kind, {least} AS least, '^({head})' AS head,"
+        f" string_split(regexp_replace(text, '(({head})({body}))', chr(57344) || '\\1' || chr(57345), 'g'), chr(57344)) AS pieces FROM d"
+        for k, (kind, least, head, body) in enumerate(_SECRETS)
+    )
+    + r"""), u AS (
+  SELECT row, k, kind, least, head, unnest(pieces) AS piece, generate_subscripts(pieces, 1) AS i FROM p WHERE len(pieces) > 1
+), s AS (
+  SELECT *, split_part(piece, chr(57345), 1) AS found,
+         sum(length(replace(piece, chr(57345), ''))) OVER (PARTITION BY row, k ORDER BY i) - length(replace(piece, chr(57345), '')) AS start
+  FROM u
+), g AS (
+  SELECT row, count(*) FILTER (k = 0) AS n_assign, count(*) FILTER (k = 1) AS n_access, count(*) FILTER (k = 2) AS n_hex,
+         string_agg(told, ',' ORDER BY start, k) FILTER (k < 3) AS base, string_agg(told, ',' ORDER BY start, k) AS spans
+  FROM (SELECT *, kind || ':' || CAST(start AS BIGINT) || ':' || CAST(start + length(found) AS BIGINT) AS told FROM s
+        WHERE i > 1 AND length(found) - length(regexp_extract(found, head)) >= least)
+  GROUP BY row
+)
+SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
+       sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM d LEFT JOIN g USING (row)
+"""
+)
+
+_OP13 = r"""
+WITH steps AS (
+  SELECT list(c ORDER BY i) AS step FROM (
+    SELECT i, list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0], lambda c, z: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS c
+    FROM range(256) r(i))
+), texts AS (
+  SELECT row_number() OVER () AS row, doc_id, true AS own, text FROM documents
+  UNION ALL SELECT NULL, NULL, false, text FROM benchmark
+), words AS (
+  SELECT row, own, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                             '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS word FROM texts
+), spelt AS (SELECT word, hex(encode(word)) AS h FROM (SELECT DISTINCT word FROM words)
+), bytes AS (SELECT word, list_transform(range(length(h) // 2), lambda i: CAST('0x' || substr(h, 2 * i + 1, 2) AS BIGINT)) AS b FROM spelt
+), buckets AS (
+  SELECT word, xor(list_reduce(list_concat([4294967295], b), lambda c, v: xor(c >> 8, step[(xor(c, v) & 255) + 1])), 4294967295) % 10000 AS bucket
+  FROM bytes, steps
+), counts AS (
+  SELECT bucket, CAST(count(*) FILTER (own) AS DOUBLE) AS s, CAST(count(*) FILTER (NOT own) AS DOUBLE) AS t
+  FROM words JOIN buckets USING (word) GROUP BY bucket
+), gains AS (
+  SELECT bucket, CAST(floor(1000 * ln((t + 1) * (sum(s) OVER () + 10000) / ((s + 1) * (sum(t) OVER () + 10000)))) AS BIGINT) AS gain FROM counts
+), weighed AS (
+  SELECT row, count(*) AS n, CAST(floor(CAST(sum(gain) AS DOUBLE) / count(*)) AS BIGINT) AS weight
+  FROM words JOIN buckets USING (word) JOIN gains USING (bucket) WHERE own GROUP BY row
+), scored AS (
+  SELECT doc_id, coalesce(n, 0) AS n_features, coalesce(weight, 0) AS weight,
+         coalesce(weight, 0) + CAST(floor(-1000 * ln(-ln((CAST('0x' || substr(sha256('2024:' || coalesce(CAST(doc_id AS VARCHAR), '')), 1, 8)
+                                                               AS BIGINT) + 0.5::DOUBLE) / 4294967296))) AS BIGINT) AS score
+  FROM texts LEFT JOIN weighed USING (row) WHERE own
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY n_features >= 20 ORDER BY score DESC, doc_id NULLS LAST, n_features) AS place,
+         10 * count(*) FILTER (n_features >= 20) OVER () // 100 AS wanted FROM scored
+)
+SELECT doc_id, n_features, weight, score, CASE WHEN n_features >= 20 AND place <= wanted THEN place END AS rank FROM ranked
+"""
+
+ORACLES: dict[str, str] = {"op7_mixture": _OP7, "op10_chat": _OP10, "op11_secret_scan": _OP11, "op13_resampling": _OP13}

@@ -52,7 +52,7 @@ def sha(text):
 
 def test_all_are_registered():
     names = contract.queries()
-    assert {int(n[2:].split("_")[0]) for n in names if re.match(r"op\d+_", n)} == set(range(1, 11))
+    assert {int(n[2:].split("_")[0]) for n in names if re.match(r"op\d+_", n)} == set(range(1, 14))
     assert names["pipeline"] is corpus_pipeline.run
     assert set(queries.ORACLES) <= set(contract.oracle_sql())
 
