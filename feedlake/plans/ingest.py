@@ -61,7 +61,7 @@ from feedlake.operators.unpack import WidthError, unpack, width_ok
 from feedlake.plans.handoff import cleared_after, delete_folder, fresh_folder, from_driver, written
 from feedlake.session import configure
 from feedlake.sinks.ledger import Ledger
-from feedlake.sinks.snapshot import drop_lacking, publish
+from feedlake.sinks.manifest import STALE_SECONDS, Publication
 from feedlake.sources.discover import discover, route_kind, union_sources
 from feedlake.sources.registry import (
     load_registry,
@@ -81,6 +81,8 @@ log = logging.getLogger(__name__)
 
 OK = "ok"
 NO_PARTITION = "_"
+# Column with a row's input file, up to the writing.
+SOURCE = "_source"
 
 
 class IncompleteArrival(RuntimeError):
@@ -124,6 +126,10 @@ class LoadConfig:
     money_on_error: str = "fail"
     parallel_tables: int = 4
     accept_partial: bool = False
+    # seconds after which another run's hold on the day counts as left behind
+    stale_after: float = STALE_SECONDS
+    # whether published files of unknown input may be replaced
+    replace_unmanaged: bool = False
 
     def __post_init__(self):
         if not (len(self.syncday) == 8 and self.syncday.isdigit()):
@@ -140,6 +146,12 @@ class LoadConfig:
 
 @dataclass(frozen=True)
 class LoadResult:
+    """How a load ended.
+
+    ``tables`` has the rows of the day in each table that the run wrote to, also
+    those of files that were loaded before, and ``published`` is their sum.
+    """
+
     task_id: str
     status: str
     published: int
@@ -388,17 +400,20 @@ def typed_table(
     plan: TablePlan,
     cfg: LoadConfig,
     amounts: Observation | None = None,
+    source: str | None = None,
 ) -> DataFrame:
     """Unpacked and typed rows of one record type; bronze is read in its folder only.
 
     ``amounts`` counts, while the rows are written, those with an amount that
-    is no number (``bad``).
+    is no number (``bad``). ``source`` adds a column with each row's input file.
     """
     rows = bronze.where(_of_table(plan, cfg))
     files = verdicts.where(_of_table(plan, cfg))
     if plan.bad_rows:
         rows = rows.join(files.where(~F.col("fits")).select("file"), "file", "left_anti")
     kept = ["recordtype", "line", "snap_dt"]
+    if source:
+        kept.append(F.col("file").alias(source))
     by_column = cfg.date_rule == "fallback" and cfg.date_scope == "column"
     if by_column and None in plan.first_fits.values():
         flags = {c: f"_{c}" for c in _unfit_columns(verdicts)}
@@ -428,7 +443,7 @@ def typed_table(
         out = parse_doubles(out, money, cfg.money_on_error)
     # snap_dt goes last, after the registered columns
     lead = [c for c in out.columns if c in ("recordtype", *names)]
-    return out.select(*lead, "snap_dt")
+    return out.select(*lead, "snap_dt", *([source] if source else []))
 
 
 def rejected_lines(
@@ -498,7 +513,7 @@ def queue_rows(
         for name, kind in types.items()
         if kind != "string" and name not in dates
     }
-    typed = snapshot_from_name(dated.withColumns(cast)).select(*types, "snap_dt")
+    typed = snapshot_from_name(dated.withColumns(cast).withColumn(SOURCE, F.col("file"))).select(*types, "snap_dt", SOURCE)
     rejects = scanned.where(~fits).select(
         "file",
         F.lit(QUEUE_RECORDTYPE).alias("recordtype"),
@@ -517,37 +532,21 @@ class _Totals:
     held_back: int = 0
     rejected: int = 0
     dropped: int = 0
-    tables: dict[str, int] = field(default_factory=dict)
     rejects: list[DataFrame] = field(default_factory=list)
     # files with rejected or held-back lines
     partial: list[DataFrame] = field(default_factory=list)
 
 
-def _whole_days(headers: DataFrame, fresh: DataFrame) -> DataFrame:
-    """Headers of all files of those days of a feed that have a fresh file.
-
-    A day of a feed is published whole: one new file brings in the other files
-    of that day, or their rows would be overwritten.
-    """
-    touched = headers.join(fresh, headers.file == fresh.path, "left_semi")
-    days = touched.select(
-        F.col("feed").alias("_feed"), F.col("snap_dt").alias("_snap_dt")
-    ).distinct()
-    same = headers.feed.eqNullSafe(days["_feed"]) & headers.snap_dt.eqNullSafe(days["_snap_dt"])
-    return written(headers.join(days, same, "left_semi"))
-
-
 def _load_feeds(
     spark: SparkSession,
     files: DataFrame,
-    all_fresh: bool,
     entries: Mapping[str, Sequence[str]],
     cfg: LoadConfig,
     totals: _Totals,
+    publication: Publication,
 ) -> None:
+    """Stage the tables of these files; those of other files stay as they are published."""
     headers = read_headers(spark, files, cfg)
-    if not all_fresh:
-        headers = _whole_days(headers, files.where("fresh"))
     paths = _paths(headers.withColumnRenamed("file", "path"))
     if not paths:
         return
@@ -572,27 +571,19 @@ def _load_feeds(
 
     noted = []
 
-    def load_table(plan: TablePlan) -> tuple[str, int]:
+    def load_table(plan: TablePlan) -> None:
         lenient = plan.feed == PLACEMENT_FEED and cfg.money_on_error == "null"
         amounts = Observation() if lenient and money_columns(plan.schema.names) else None
-        table = typed_table(bronze, verdicts, plan, cfg, amounts)
-        done = publish(table, cfg.target, cfg.syncday, plan.feed, plan.recordtype)
+        table = typed_table(bronze, verdicts, plan, cfg, amounts, SOURCE)
+        publication.stage(table, plan.feed, plan.recordtype, SOURCE, paths)
         if amounts is not None and amounts.get["bad"]:
             noted.append(plan)
-        return f"{plan.recordtype}/{plan.feed}", done["published"]
 
     # The tables are independent; a few at a time keep the executors busy
     # through the tail of each write.
     ready = [plan for plan in day.tables if plan.good_rows]
     with ThreadPoolExecutor(max_workers=max(1, cfg.parallel_tables)) as pool:
-        work = inheritable_thread_target(spark)(load_table)
-        totals.tables.update(pool.map(work, ready))
-    if not day.unusable:
-        # feeds of the sync day, and what the new version of the day has of each
-        due = headers.where(F.to_date("snap_dt") == F.to_date(F.lit(cfg.syncday), "yyyyMMdd"))
-        for row in due.select("feed").distinct().collect():
-            has = {plan.recordtype for plan in day.tables if plan.feed == row.feed}
-            drop_lacking(spark, cfg.target, cfg.syncday, row.feed, has)
+        list(pool.map(inheritable_thread_target(spark)(load_table), ready))
     if day.unusable or day.bad_rows or noted:
         totals.rejects.append(rejected_lines(bronze, verdicts, day.tables, cfg, noted))
 
@@ -603,6 +594,7 @@ def _load_queue(
     entries: Mapping[str, Sequence[str]],
     cfg: LoadConfig,
     totals: _Totals,
+    publication: Publication,
 ) -> None:
     if QUEUE_KEY not in entries:
         lines = scan_lines(spark, paths)
@@ -622,8 +614,7 @@ def _load_queue(
     rows, rejects, too_long = queue_rows(spark, paths, entries[QUEUE_KEY])
     if too_long and cfg.fail_fast:
         raise WidthError(f"{too_long} queue rows with too many fields")
-    done = publish(rows, cfg.target, cfg.syncday, QUEUE_RECORDTYPE, QUEUE_RECORDTYPE)
-    totals.tables[f"{QUEUE_RECORDTYPE}/{QUEUE_RECORDTYPE}"] = done["published"]
+    done = publication.stage(rows, QUEUE_RECORDTYPE, QUEUE_RECORDTYPE, SOURCE, paths)
     totals.held_back += done["held_back"]
     totals.rejected += too_long
     if too_long:
@@ -631,40 +622,41 @@ def _load_queue(
         totals.partial.append(rejects.select("file").distinct())
 
 
-def _load(spark: SparkSession, cfg: LoadConfig, ledger: Ledger, task_id: str) -> LoadResult:
+def _load(
+    spark: SparkSession, cfg: LoadConfig, ledger: Ledger, task_id: str, publication: Publication
+) -> LoadResult:
     payloads, status = check_arrival(spark, cfg)
-    files = written(mark_fresh(route_kind(payloads), ledger.files()))
-    counts = files.groupBy("kind").agg(
-        F.count("*").alias("files"), F.count_if("fresh").alias("fresh")
-    )
-    kinds = {row.kind: row for row in counts.collect() if row.fresh}
+    files = written(mark_fresh(route_kind(payloads), ledger.files())).where("fresh")
+    kinds = {row.kind for row in files.select("kind").distinct().collect()}
     totals = _Totals()
     if not kinds:
         return LoadResult(task_id, "nothing_pending", 0, 0, 0, {}, None)
     entries = registry_entries(load_registry(spark, cfg.registry))
     if "queue" in kinds:
-        _load_queue(spark, _paths(files.where("kind = 'queue'")), entries, cfg, totals)
+        _load_queue(spark, _paths(files.where("kind = 'queue'")), entries, cfg, totals, publication)
     if "feed" in kinds:
-        all_fresh = kinds["feed"].files == kinds["feed"].fresh
-        _load_feeds(spark, files.where("kind = 'feed'"), all_fresh, entries, cfg, totals)
+        _load_feeds(spark, files.where("kind = 'feed'"), entries, cfg, totals, publication)
     rejects = None
     if totals.rejects:
         rejects = written(union_sources(*totals.rejects), f"{cfg.work}/rejects")
-    fresh = files.where("fresh").withColumn("status", F.lit("ok"))
+    # all is written and judged; what these files had published before goes
+    manifest = publication.commit(sources=_paths(files))
+    fresh = files.withColumn("status", F.lit("ok"))
     if totals.partial and not cfg.accept_partial:
         partial = union_sources(*totals.partial).distinct()
         fresh = fresh.join(partial, fresh.path == partial.file, "left").withColumn(
             "status", F.when(F.col("file").isNull(), "ok").otherwise("partial")
         )
     ledger.append_files(fresh, task_id, cfg.syncday)
-    published = sum(totals.tables.values())
+    touched = sorted({(e.recordtype, e.feed) for e in publication.staged})
+    tables = {f"{recordtype}/{feed}": manifest.rows(feed, recordtype) for recordtype, feed in touched}
     return LoadResult(
         task_id,
         status,
-        published,
+        sum(tables.values()),
         totals.held_back,
         totals.rejected,
-        totals.tables,
+        tables,
         rejects,
         totals.dropped,
     )
@@ -689,8 +681,9 @@ def daily_load(spark: SparkSession, cfg: LoadConfig) -> LoadResult:
         "start": datetime.now(timezone.utc),
     }
     try:
-        with cleared_after(spark):
-            result = _load(spark, cfg, ledger, task_id)
+        hold = Publication(spark, cfg.target, cfg.syncday, task_id, cfg.stale_after, cfg.replace_unmanaged)
+        with cleared_after(spark), hold as publication:
+            result = _load(spark, cfg, ledger, task_id, publication)
         for own in ("bronze", "verdicts"):
             delete_folder(spark, f"{cfg.work}/{own}")
     except Exception as error:

@@ -199,6 +199,7 @@ ORACLES: dict[str, str] = {
         FROM events GROUP BY user_id""",
     "ingest_orders": "SELECT * FROM orders",
     "ingest_lineitem": "SELECT * FROM lineitem",
+    "late_merge": "SELECT * FROM orders",
     "full_ingest": """
         SELECT 'ORD' AS recordtype, count(*) AS rows, sum(o_orderkey)::BIGINT AS keys,
                sum(o_totalprice::DECIMAL(18, 2))::DOUBLE AS amount,

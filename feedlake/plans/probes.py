@@ -9,7 +9,9 @@ from __future__ import annotations
 
 import json
 from collections.abc import Callable, Mapping
+from contextlib import suppress
 
+from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -53,6 +55,7 @@ from feedlake.plans.ingest import LoadConfig, daily_load
 from feedlake.plans.packing import name_files, pack, write_lines
 from feedlake.session import configure
 from feedlake.sinks import Ledger, publish, write_snapshot
+from feedlake.sinks.files import Files
 from feedlake.sources import (
     discover,
     load_registry,
@@ -519,6 +522,10 @@ def publish_days(spark: SparkSession, sf_dir: str) -> DataFrame:
     run(rows, "20240115")
     run(rows, "20240116")
     held_back = run(rows.withColumn("o_totalprice", F.col("o_totalprice") * 2), "20240115")
+    # a version that fails while it is written leaves the one before
+    broken = F.when(F.col("o_totalprice") > 0, F.raise_error(F.lit("broken"))).otherwise(F.lit(0.0))
+    with suppress(PySparkException):
+        run(rows.withColumn("o_totalprice", broken.cast("double")), "20240115")
     back = _naive(spark.read.parquet(f"{base}/ORD/AgentReturnFile"), "snap_dt")
     return back.select(
         "o_orderkey", "o_totalprice", "snap_dt", F.lit(held_back).cast("bigint").alias("held_back")
@@ -665,6 +672,52 @@ def ingest_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _retyped(_naive(table, "l_shipdate"), LINEITEM)
 
 
+def _drop(spark: SparkSession, df: DataFrame, cfg: LoadConfig, stem: str) -> None:
+    """``df`` as four files of orders in the first landing folder, in place of those of that name."""
+    files = Files(spark)
+    _withdraw(spark, cfg, stem)
+    line = F.concat(F.lit("ORD|"), pack(df))
+    parts = write_lines(df.repartition(4, "o_orderkey"), line, f"{cfg.work}-{stem}-parts", f"AcctActReturnFile|x|{DAY}")
+    name_files(spark, parts, cfg.sources["first"], stem, DAY, PAYLOAD_SUFFIX)
+    files.delete(parts)
+
+
+def _withdraw(spark: SparkSession, cfg: LoadConfig, stem: str) -> None:
+    files = Files(spark)
+    for found in files.listing(cfg.sources["first"]):
+        if found.name.startswith(f"{stem}_"):
+            files.delete(f"{cfg.sources['first']}/{found.name}")
+
+
+def late_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders dealt over two sets of files: the first is loaded and leaves, the second comes late, wrong and then corrected."""
+    orders = _table(spark, sf_dir, "orders")
+    root = fresh_folder(spark, "late")
+    registry = spark.createDataFrame([(json.dumps(REGISTRY),)], "value string")
+    registry.coalesce(1).write.text(f"{root}/registry")
+    cfg = LoadConfig(
+        sources={"first": f"{root}/first"},
+        registry=f"{root}/registry",
+        target=f"{root}/published",
+        ledger=f"{root}/ledger",
+        work=f"{root}/work",
+        syncday=DAY,
+    )
+    markers = write_lines(spark.range(0, 6, 1, 6), F.lit("x"), f"{root}/markers")
+    name_files(spark, markers, f"{root}/first", "Marker", DAY, MARKER_SUFFIX)
+    final = F.col("o_orderstatus") == "F"
+    _drop(spark, orders.where(final), cfg, "Final")
+    daily_load(spark, cfg)
+    _withdraw(spark, cfg, "Final")
+    late = orders.where(~final)
+    _drop(spark, late.withColumn("o_totalprice", F.col("o_totalprice") * 2), cfg, "Late")
+    daily_load(spark, cfg)
+    _drop(spark, late, cfg, "Late")
+    daily_load(spark, cfg)
+    table = spark.read.parquet(f"{cfg.target}/ORD/AcctActReturnFile")
+    return _retyped(_naive(table, "o_orderdate"), ORDERS)
+
+
 def full_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What each published table holds after a whole load."""
     cfg = _ingested(spark, sf_dir)
@@ -730,4 +783,5 @@ PROBES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "ingest_orders": ingest_orders,
     "ingest_lineitem": ingest_lineitem,
     "full_ingest": full_ingest,
+    "late_merge": late_merge,
 }

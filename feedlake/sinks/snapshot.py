@@ -2,9 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Collection
-
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -16,68 +14,30 @@ def table_path(root: str, recordtype: str, feed: str) -> str:
     return f"{root.rstrip('/')}/{recordtype}/{feed}"
 
 
-def _zoned(df: DataFrame) -> DataFrame:
+def zoned(df: DataFrame) -> DataFrame:
     """Zone-less timestamps as instants: only those can be stored as INT96."""
     naive = [f.name for f in df.schema.fields if isinstance(f.dataType, T.TimestampNTZType)]
     return df.withColumns({c: F.col(c).cast("timestamp") for c in naive})
 
 
+def require_int96(spark: SparkSession) -> None:
+    if spark.conf.get(INT96_CONF) != "INT96":
+        raise ValueError(f"{INT96_CONF} must be INT96; call feedlake.configure(spark)")
+
+
 def write_snapshot(df: DataFrame, root: str, feed: str, recordtype: str) -> str:
     """Write the snapshots in ``df``, replacing those days and no others.
 
     Every day is a partition ``snap_day=YYYY-MM-DD``; ``snap_dt`` stays in the
     files. Timestamps are INT96. Returns the table's folder.
     """
-    if df.sparkSession.conf.get(INT96_CONF) != "INT96":
-        raise ValueError(f"{INT96_CONF} must be INT96; call feedlake.configure(spark)")
+    require_int96(df.sparkSession)
     path = table_path(root, recordtype, feed)
     (
-        _zoned(df.withColumn("snap_day", F.to_date("snap_dt")))
+        zoned(df.withColumn("snap_day", F.to_date("snap_dt")))
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("snap_day")
         .parquet(path)
     )
     return path
-
-
-def publish(df: DataFrame, base: str, syncday: str, feed: str, recordtype: str) -> dict[str, int]:
-    """Publish the sync day's rows under ``<base>/<recordtype>/<feed>``.
-
-    That day is replaced and other days stay. Rows of other days are held back.
-    Returns the numbers of rows ``published`` and ``held_back``, counted while
-    writing.
-    """
-    due = F.to_date("snap_dt") == F.to_date(F.lit(syncday), "yyyyMMdd")
-    seen = Observation()
-    observed = df.observe(
-        seen,
-        F.count_if(due).alias("published"),
-        F.count_if(~F.coalesce(due, F.lit(False))).alias("held_back"),
-    )
-    write_snapshot(observed.where(due), base, feed, recordtype)
-    return seen.get
-
-
-
-
-def drop_lacking(
-    spark: SparkSession, root: str, syncday: str, feed: str, recordtypes: Collection[str]
-) -> list[str]:
-    """Remove the sync day of a feed's record types other than ``recordtypes``; returns those it had.
-
-    A day is published whole: what an earlier version of it had and the new one
-    has not must go.
-    """
-    day = f"{syncday[:4]}-{syncday[4:6]}-{syncday[6:]}"
-    path = spark._jvm.org.apache.hadoop.fs.Path
-    top = path(root)
-    files = top.getFileSystem(spark._jsc.hadoopConfiguration())
-    gone = []
-    for found in files.listStatus(top) if files.exists(top) else []:
-        recordtype = found.getPath().getName()
-        partition = path(f"{table_path(root, recordtype, feed)}/snap_day={day}")
-        if recordtype not in recordtypes and files.exists(partition):
-            files.delete(partition, True)
-            gone.append(recordtype)
-    return sorted(gone)
