@@ -25,6 +25,7 @@ from .quality import let
 TITLES = {
     "m": ("Mr", "Herr", "Herrn", "Monsieur", "Señor", "Sr", "господин", "κύριος"),
     "f": ("Mrs", "Ms", "Miss", "Frau", "Madame", "Mme", "Señora", "Sra", "госпожа", "κυρία"),
+    "": ("Dr", "Prof", "Professor", "Doctor"),
 }
 GIVEN = {
     ("latin", "m"): ("Adam", "Bruno", "Conrad", "Emil", "Felix", "Hugo", "Ivan", "Leon", "Martin", "Oscar", "Paul", "Victor"),
@@ -49,28 +50,43 @@ def _longest_first(words: list[str]) -> str:
     return "|".join(sorted(words, key=len, reverse=True))
 
 
+# What stands between the words of a name: a line break counts, a paragraph does not.
+_GAP = r"[\s   ]{1,3}"
+
+
 def _names(titles: list[str], after_name: list[str]) -> str:
-    """A title and all name words after it: names, initials, and particles with a name after them."""
+    """A title and all name words after it: names, initials, and particles with a name after them.
+
+    Loops over groups are possessive: they need no memory for each turn, however long the text is.
+    """
     letters = r"(?:[\p{L}\p{M}'-]|’(?=\p{Lu}))"
     joined = r"(?:(?:d|l|dell|all|al|el|as|ash|ad|an|ar|at|az|de|di|du|la|le)['’-])?"
-    name = rf"{joined}\p{{Lu}}\p{{M}}*{letters}++"
-    one = rf"(?:(?:\p{{Lu}}\.-?)++(?:{name})?|(?:Prof|Dr|St|Ste)\. {name}|{name}|\p{{Lu}}(?= (?:(?:{_ANY}) )*\p{{Lu}}))"
-    first, later = rf"(?:(?:{_ANY}) )*", rf"(?:(?:{_longest_first(after_name)}) (?:(?:{_ANY}) )*)?"
-    return rf"(?:{_longest_first(titles)})\.? {first}{one}(?: {later}{one})*+"
+    name = rf"{joined}\p{{Lu}}\p{{M}}*+{letters}++"
+    particles = rf"(?:(?:{_ANY}){_GAP})*+"
+    one = rf"(?:(?:\p{{Lu}}\.-?)++(?:{name})?|(?:Prof|Dr|St|Ste)\.{_GAP}{name}|{name}|\p{{Lu}}(?={_GAP}{particles}\p{{Lu}}))"
+    later = rf"(?:(?:{_longest_first(after_name)}){_GAP}{particles})?"
+    return rf"(?:{_longest_first(titles)})\.?{_GAP}{particles}{one}(?:{_GAP}{later}{one})*+"
+
 
+def _spellings(titles: tuple[str, ...]) -> list[str]:
+    """Also in capitals, but for those that are other words then."""
+    return [*titles, *(t.upper() for t in titles if t not in ("Ms", "Sr"))]
 
-_GERMAN = ("Herr", "Herrn", "Frau")
+
+_GERMAN = _spellings(("Herr", "Herrn", "Frau"))
 _ANY = _longest_first([*PARTICLES, *ARTICLES])
-_TITLE = "|".join(t for names in TITLES.values() for t in sorted(names, key=len, reverse=True))
-_OTHERS = [t for names in TITLES.values() for t in names if t not in _GERMAN]
-_PERSON = rf"(?<!\p{{L}})(?:{_names(list(_GERMAN), PARTICLES)}|{_names(_OTHERS, PARTICLES + ['der', 'den', 'das', 'het'])})"
+_TITLE = _longest_first([t for names in TITLES.values() for t in _spellings(names)])
+_OTHERS = [t for names in TITLES.values() for t in _spellings(names) if t not in _GERMAN]
+_PERSON = rf"(?<!\p{{L}})(?:{_names(_GERMAN, PARTICLES)}|{_names(_OTHERS, PARTICLES + ['der', 'den', 'das', 'het'])})"
 _SECRET = r"(?:[Pp]assword|[Pp]asswd|[Pp]wd|[Ss]ecret|[Tt]oken|[Aa]pi_?[Kk]ey|PASSWORD|SECRET|TOKEN|API_KEY)\s{0,3}[=:]\s{0,3}[\"']?"
-#: What is looked for, in this order; the first kind that matches at a place counts.
+_HEX = "[0-9A-Fa-f]{1,4}"
+#: What is looked for, in this order; the first kind that matches at a place counts. A domain has 127 labels at most.
 PATTERNS = {
     "secret": rf"(?<![\p{{L}}\p{{N}}]){_SECRET}[^\s\"',;]{{4,}}",
-    "email": r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}._%+-]++@[\p{L}\p{N}-]+(?:\.[\p{L}\p{N}-]+)*\.\p{L}{2,}",
+    "email": r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}._%+-][\p{L}\p{N}._%+'-]*+@[\p{L}\p{N}-]++(?:\.[\p{L}\p{N}-]++){0,126}\.\p{L}{2,}",
     "access_key": r"(?<![\p{L}\p{N}])(?:A[KS]IA[A-Z0-9]{16}|gh[pousr]_[A-Za-z0-9]{36,}|sk-[A-Za-z0-9_-]{20,})(?![\p{L}\p{N}])",
     "ip": r"(?<![\p{N}.])(?:(?:25[0-5]|2[0-4][0-9]|1?[0-9]{1,2})\.){3}(?:25[0-5]|2[0-4][0-9]|1?[0-9]{1,2})(?![\p{N}]|\.[0-9])",
+    "ipv6": rf"(?<![\p{{L}}\p{{N}}:])(?:(?:{_HEX}:){{7}}{_HEX}|(?:{_HEX}:){{2,6}}(?::{_HEX}){{1,5}}|{_HEX}:(?::{_HEX}){{2,6}})(?![\p{{L}}\p{{N}}:])",
     "iban": r"(?<![\p{L}\p{N}])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![\p{L}\p{N}])",
     "ssn": r"(?<![\p{N}-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![\p{N}-])",
     "phone": r"(?<![\p{L}\p{N}+])(?:\+[0-9]{1,3}[ .-]?)?(?:\([0-9]{2,4}\)[ .-]?[0-9]{3,4}[ .-]?[0-9]{3,4}|[0-9]{3}[.-][0-9]{3}[.-][0-9]{4})(?!\p{N})"
@@ -80,9 +96,11 @@ PATTERNS = {
 }
 ENTITY = "|".join(f"(?:{p})" for p in PATTERNS.values())
 #: Texts without any of these have no entity; they are most, and are not searched further.
-_HINT = rf"[0-9@=:]|A[KS]IA|gh[pousr]_|sk-|(?:{_TITLE})\.? "
-#: From this attempt on a surrogate grows, so that a small space of formats cannot be used up.
-GROWS = 8
+_HINT = rf"[0-9@=:]|A[KS]IA|gh[pousr]_|sk-|(?:{_TITLE})\.?{_GAP}"
+#: Up to this attempt a surrogate is a random text of its format; where a format has no more than
+#: ``SMALL`` texts, those that still collide then get one that is free.
+RANDOM = 8
+SMALL = 1 << 20
 ALPHANUMERIC = ("card", "phone", "ssn", "iban")
 
 
@@ -100,6 +118,8 @@ def canonical_of(entity: Column, kind: Column) -> Column:
         F.when(kind == "email", F.lower(entity))
         .when(kind.isin(*ALPHANUMERIC), F.regexp_replace(entity, "[^0-9A-Za-z]", ""))
         .when(kind == "secret", F.regexp_replace(entity, f"^{_SECRET}", ""))
+        .when(kind == "ipv6", F.lower(entity))
+        .when(kind == "person", F.regexp_replace(entity, _GAP, " "))
         .otherwise(entity)
     )
 
@@ -120,7 +140,7 @@ def _stream(length: Column, *parts: Column) -> Column:
 
 def _reshaped(value: Column, *parts: Column) -> Column:
     """Letters and digits replaced, each by one of its sort; everything else stays."""
-    hexadecimal = value.rlike("^(?:[0-9a-f]*|[0-9A-F]*)$")
+    hexadecimal = value.rlike("^(?:[0-9a-f:]*|[0-9A-F]*)$")
 
     def each(stream: Column) -> Column:
         def one(c: Column, i: Column) -> Column:
@@ -161,6 +181,31 @@ def _card(value: Column, *parts: Column) -> Column:
     return F.concat(body, F.when(valid, check).otherwise(wrong).cast("int").cast("string"))
 
 
+def _mod97(text: Column) -> Column:
+    """The number that a text of digits and capitals spells, letters as 10 to 35, modulo 97."""
+
+    def fold(rest: Column, c: Column) -> Column:
+        number = F.when(c.rlike("[0-9]"), F.ascii(c) - 48).otherwise(F.ascii(c) - 55)
+        return ((rest * F.when(number > 9, 100).otherwise(10) + number) % 97).cast("int")
+
+    return F.aggregate(F.split(text, ""), F.lit(0), fold)
+
+
+def _iban(value: Column, *parts: Column) -> Column:
+    """The country stays; the check digits are right exactly if they were."""
+    country, account = F.substr(value, F.lit(1), F.lit(2)), F.substr(value, F.lit(5), F.length(value))
+    valid = _mod97(F.concat(account, F.substr(value, F.lit(1), F.lit(4)))) == 1
+
+    # of the numbers 1 to 97 only 98 less the rest, which is 1 to 97 too, is right
+    off = F.when(valid, 0).otherwise(1 + _number(_digest(*parts, F.lit("check")), F.lit(1), 90))
+
+    def checked(made: Column) -> Column:
+        check = (97 - _mod97(F.concat(made, country, F.lit("00"))) + off) % 97 + 1
+        return F.concat(country, F.lpad(check.cast("int").cast("string"), 2, "0"), made)
+
+    return let(_reshaped(account, *parts), checked)
+
+
 def _ip(value: Column, *parts: Column) -> Column:
     return let(
         _digest(*parts),
@@ -170,13 +215,12 @@ def _ip(value: Column, *parts: Column) -> Column:
     )
 
 
-def _email(value: Column, key: Column, attempt: Column) -> Column:
-    """The domain depends on the domain alone; its last part stays."""
-    local, domain = F.substring_index(value, "@", 1), F.substring_index(value, "@", -1)
+def _domain(value: Column, key: Column) -> Column:
+    """The surrogate of an address's domain, which depends on the domain alone; its last part stays."""
+    domain = F.substring_index(value, "@", -1)
     top = F.substring_index(domain, ".", -1)
     host = F.substr(domain, F.lit(1), F.length(domain) - F.length(top) - 1)
-    made = _reshaped(local, key, F.lit("email"), value, attempt)
-    return F.concat(made, F.lit("@"), _reshaped(host, key, F.lit("domain"), domain), F.lit("."), top)
+    return F.concat(_reshaped(host, key, F.lit("domain"), domain), F.lit("."), top)
 
 
 def _script(word: Column) -> Column:
@@ -193,7 +237,8 @@ def _person(value: Column, key: Column, attempt: Column) -> Column:
 
 def _person_of(parts: Column, key: Column, attempt: Column) -> Column:
     title = parts[0]
-    gender = F.when(F.regexp_replace(title, r"\.$", "").isin(*TITLES["f"]), "f").otherwise("m")
+    called = F.upper(F.regexp_replace(title, r"\.$", ""))
+    gender = F.when(called.isin(*(t.upper() for t in TITLES["f"])), "f").when(called.isin(*(t.upper() for t in TITLES["m"])), "m").otherwise("")
     family, middle = F.element_at(parts, -1), F.slice(parts, 2, F.size(parts) - 2)
     particle = f"^(?:{_ANY})$"
     given = F.array_join(F.filter(middle, lambda w: ~w.rlike(particle)), " ")
@@ -201,29 +246,33 @@ def _person_of(parts: Column, key: Column, attempt: Column) -> Column:
     def of_script(word: Column, lists: dict) -> Column:
         found = F.lit(None).cast("array<string>")
         for script, known in lists.items():
-            found = F.when(_script(word) == script, F.array(*map(F.lit, known))).otherwise(found)
+            found = F.when(_script(word) == script, F.split(F.lit(" ".join(known)), " ")).otherwise(found)
         return found
 
     def pick(word: Column) -> Column:
         men, women = ({script: known for (script, g), known in GIVEN.items() if g == x} for x in "mf")
-        names = F.when(gender == "f", of_script(word, women)).otherwise(of_script(word, men))
-        number = _number(_digest(key, F.lit("given"), word), F.lit(1), 1 << 16)
-        return let(names, lambda n: F.element_at(n, (number % F.size(n)).cast("int") + 1))
+        both = {script: men[script] + women[script] for script in men}
+        names = F.when(gender == "f", of_script(word, women)).when(gender == "m", of_script(word, men)).otherwise(of_script(word, both))
+        number = _number(_digest(key, F.lit("given"), F.lower(word)), F.lit(1), 1 << 16)
+        return let(names, lambda n: spelt_like(word, F.element_at(n, (number % F.size(n)).cast("int") + 1)))
+
+    def spelt_like(word: Column, made: Column) -> Column:
+        return F.when((word == F.upper(word)) & (F.length(word) > 1), F.upper(made)).otherwise(made)
 
     def syllables(word: Column, tries: Column, count: Column) -> Column:
-        both = F.struct(_stream(F.lit(32), key, F.lit("syllables"), word, tries).alias("s"), of_script(word, SYLLABLES).alias("l"))
+        both = F.struct(_stream(F.lit(32), key, F.lit("syllables"), F.lower(word), tries).alias("s"), of_script(word, SYLLABLES).alias("l"))
 
         def chosen(b: Column) -> Column:
             each = F.sequence(F.lit(1), count.cast("int"))
             return F.transform(each, lambda i: F.element_at(b["l"], (_number(b["s"], i * 4, 1 << 16) % F.size(b["l"])).cast("int") + 1))
 
-        return F.initcap(F.array_join(let(both, chosen), ""))
+        return spelt_like(word, F.initcap(F.array_join(let(both, chosen), "")))
 
     def replaced(word: Column) -> Column:
         letter = F.substr(F.lit("ABCDEFGHIJKLMNOPQRSTUVWXYZ"), _number(_digest(key, F.lit("initial"), word), F.lit(1), 26) + 1, F.lit(1))
         return (
             F.when(word.rlike(particle), word)
-            .when(word.rlike(r"^(?:\p{Lu}|(?:\p{Lu}\.-?)+)$"), F.concat(letter, F.when(word.endswith("."), ".").otherwise("")))
+            .when(word.rlike(r"^(?:\p{Lu}|(?:\p{Lu}\.-?)++)$"), F.concat(letter, F.when(word.endswith("."), ".").otherwise("")))
             .otherwise(pick(word))
         )
 
@@ -233,31 +282,72 @@ def _person_of(parts: Column, key: Column, attempt: Column) -> Column:
     longer = F.array_position(F.transform(middle, lambda w: w.rlike(particle)), F.lit(False))
     made = F.transform(middle, lambda w, i: F.concat(replaced(w), F.when(i + 1 == longer, second).otherwise("")))
     again = F.when(given == "", attempt).otherwise("0")
-    size = F.when(given == "", 3 + F.floor(tries / GROWS)).otherwise(3)
+    size = F.when(given == "", 3 + F.floor(tries / RANDOM)).otherwise(3)
     return F.array_join(F.concat(F.array(title), made, F.array(syllables(family, again, size))), " ")
 
 
+def _format(kind: Column, canonical: Column) -> Column:
+    """The part of an entity that is numbered, with ``0``, ``A`` and ``a`` for its digits and letters; empty if its kind is not."""
+    part = F.when(kind == "email", F.substring_index(canonical, "@", 1)).when(kind.isin("secret", "ssn"), canonical).otherwise("")
+    plain = F.regexp_replace(F.regexp_replace(part, r"\p{N}", "0"), r"\p{Lu}", "A")
+    return F.regexp_replace(plain, r"[\p{L}&&[^A]]", "a")
+
+
+def _choices(c: Column) -> Column:
+    return F.when(c == "0", 10).when(c.isin("A", "a"), 26).otherwise(1)
+
+
+def _space(shape: Column) -> Column:
+    """How many texts a format has; more than ``SMALL`` count as one more. 0 for the empty format."""
+    size = F.aggregate(F.split(shape, ""), F.lit(1).cast("long"), lambda n, c: F.least(n * _choices(c), F.lit(SMALL + 1).cast("long")))
+    return F.when(shape == "", F.lit(0).cast("long")).otherwise(size)
+
+
+def _numbered(shape: Column, number: Column) -> Column:
+    """The text of this number, from 0 on, among all of a format."""
+    state = F.struct(number.cast("long").alias("rest"), F.lit("").alias("text"))
+
+    def put(a: Column, c: Column) -> Column:
+        at = (a["rest"] % _choices(c)).cast("int")
+        signs = F.when(c == "0", "0123456789").when(c == "A", "ABCDEFGHIJKLMNOPQRSTUVWXYZ").otherwise("abcdefghijklmnopqrstuvwxyz")
+        sign = F.when(_choices(c) > 1, F.substr(signs, at + 1, F.lit(1))).otherwise(c)
+        return F.struct(F.floor(a["rest"] / _choices(c)).alias("rest"), F.concat(sign, a["text"]).alias("text"))
+
+    return F.aggregate(F.reverse(F.split(shape, "")), state, put, lambda a: a["text"])
+
+
 def surrogate_of(kind: Column, canonical: Column, attempt: Column, key: str) -> Column:
-    """The surrogate of a canonical form at an attempt."""
-    secret, attempt = F.lit(key), attempt.cast("string")
+    """The surrogate of a canonical form at an attempt.
+
+    In small formats the attempts from ``RANDOM`` on are the format's texts in
+    turn; those after the last one, which only a full format needs, grow.
+    """
+    shape = _format(kind, canonical)
+    both = F.struct(shape.alias("shape"), _space(shape).alias("space"))
+    return let(both, lambda b: _surrogate(kind, canonical, attempt, key, b["shape"], b["space"]))
+
+
+def _surrogate(kind: Column, canonical: Column, attempt: Column, key: str, shape: Column, space: Column) -> Column:
+    secret, number = F.lit(key), attempt.cast("long") - RANDOM
+    attempt = attempt.cast("string")
     told = (secret, kind, canonical, attempt)
-    plain = _reshaped(canonical, *told)
-    head = F.substr(canonical, F.lit(1), F.lit(1))
-    made = (
-        F.when(kind == "email", _email(canonical, secret, attempt))
-        .when(kind == "ip", _ip(canonical, *told))
+    over = F.greatest(number - space, F.lit(-1))
+    in_turn = F.concat(_numbered(shape, F.when(over < 0, number).otherwise(0)), F.when(over >= 0, over.cast("string")).otherwise(""))
+    plain = _reshaped(F.when(kind == "email", F.substring_index(canonical, "@", 1)).otherwise(canonical), *told)
+    text = F.when((space > 0) & (space <= SMALL) & (number >= 0), in_turn).otherwise(plain)
+
+    def made(t: Column) -> Column:
+        kept = F.when(kind == "access_key", 4).when(kind == "phone", 1).otherwise(0)
+        same = F.concat(F.substr(canonical, F.lit(1), kept), F.substr(t, kept + 1, F.length(t)))
+        return F.when(kind == "email", F.concat(t, F.lit("@"), _domain(canonical, secret))).otherwise(same)
+
+    return (
+        F.when(kind == "ip", _ip(canonical, *told))
         .when(kind == "card", _card(canonical, *told))
         .when(kind == "person", _person(canonical, secret, attempt))
-        .when(kind == "access_key", F.concat(F.substr(canonical, F.lit(1), F.lit(4)), F.substr(plain, F.lit(5), F.length(plain))))
-        .when(kind == "iban", F.concat(F.substr(canonical, F.lit(1), F.lit(2)), F.substr(plain, F.lit(3), F.length(plain))))
-        .when(kind == "phone", F.concat(head, F.substr(plain, F.lit(2), F.length(plain))))
-        .otherwise(plain)
+        .when(kind == "iban", _iban(canonical, *told))
+        .otherwise(let(text, made))
     )
-    extra = F.when(
-        (attempt.cast("int") >= GROWS) & ~kind.isin("person", "email"),
-        _reshaped(F.repeat(F.lit("0"), F.floor(attempt.cast("int") / GROWS).cast("int")), *told, F.lit("more")),
-    ).otherwise("")
-    return F.concat(made, extra)
 
 
 def _laid_out(entity: Column, kind: Column, surrogate: Column) -> Column:
@@ -273,10 +363,14 @@ def _laid_out(entity: Column, kind: Column, surrogate: Column) -> Column:
         "",
     )
     used = F.length(F.regexp_replace(entity, "[^0-9A-Za-z]", ""))
+    gaps = F.concat(F.regexp_extract_all(entity, F.lit(_GAP), F.lit(0)), F.array(F.lit("")))
+    names = F.array_join(F.zip_with(F.split(surrogate, " "), gaps, lambda word, gap: F.concat(word, F.coalesce(gap, F.lit("")))), "")
     return (
         F.when(kind.isin(*ALPHANUMERIC), F.concat(spelled, F.substr(surrogate, used + 1, F.length(surrogate))))
         .when((kind == "email") & (entity == F.upper(entity)), F.upper(surrogate))
         .when(kind == "secret", F.concat(F.regexp_extract(entity, f"^{_SECRET}", 0), surrogate))
+        .when((kind == "ipv6") & (entity == F.upper(entity)), F.upper(surrogate))
+        .when(kind == "person", names)
         .otherwise(surrogate)
     )
 
@@ -296,20 +390,55 @@ def resolved(entities: DataFrame, key: str) -> DataFrame:
 
     An entity whose surrogate another one holds, or is an entity itself, tries
     again; who holds a surrogate already keeps it, else the smallest canonical
-    form. Rounds go on until none collides.
+    form. Rounds go on until none collides. In formats with few texts the
+    entities that collide too often share out those that are still free.
     """
     known = written(entities.select("kind", "canonical").distinct())
-    state = known.select("kind", "canonical", F.lit(0).alias("attempt"), F.lit(False).alias("held"))
+    state = known.select("kind", "canonical", F.lit(0).cast("long").alias("attempt"), F.lit(False).alias("held"))
+    real = known.select("kind", F.col("canonical").alias("surrogate"), F.lit(True).alias("real"))
+    made = surrogate_of(F.col("kind"), F.col("canonical"), F.col("attempt"), key)
+    turn = 0
     while True:
-        named = state.withColumn("surrogate", surrogate_of(F.col("kind"), F.col("canonical"), F.col("attempt"), key))
+        named = state.withColumn("surrogate", made)
         first = Window.partitionBy("kind", "surrogate").orderBy(F.desc("held"), "canonical")
         named = named.withColumn("rank", F.row_number().over(first))
-        real = known.select("kind", F.col("canonical").alias("surrogate"), F.lit(True).alias("real"))
-        named = written(named.join(real, ["kind", "surrogate"], "left"))
-        free = (F.col("rank") == 1) & F.col("real").isNull()
-        if not named.where(~free).limit(1).count():
+        named = named.join(real, ["kind", "surrogate"], "left")
+        named = written(named.withColumn("free", (F.col("rank") == 1) & F.col("real").isNull()).drop("rank", "real"))
+        if not named.where("NOT free").limit(1).count():
             return named.select("kind", "canonical", "attempt", "surrogate")
-        state = named.select("kind", "canonical", F.when(free, F.col("attempt")).otherwise(F.col("attempt") + 1).alias("attempt"), free.alias("held"))
+        turn += 1
+        state = named.select("kind", "canonical", (F.col("attempt") + F.when(F.col("free"), 0).otherwise(1)).alias("attempt"), F.col("free").alias("held"))
+        if turn == RANDOM:
+            state = written(_shared_out(named, real, key).unionByName(state.where("held")))
+
+
+def _shared_out(named: DataFrame, real: DataFrame, key: str) -> DataFrame:
+    """New attempts for the entities that are not free: the free texts of their format by a keyed order, one each."""
+    shape = _format(F.col("kind"), F.col("canonical"))
+    domain = F.when(F.col("kind") == "email", F.substring_index("surrogate", "@", -1)).otherwise("")
+    left = named.where("NOT free").select("kind", "canonical", "attempt", shape.alias("shape"), domain.alias("domain"))
+    left = written(left.withColumn("space", _space(F.col("shape"))))
+    small = (F.col("space") > 0) & (F.col("space") <= SMALL)
+    group = ["kind", "shape", "domain"]
+    numbers = left.where(small).select(*group, "space").distinct()
+    numbers = numbers.select(*group, F.explode(F.sequence(F.lit(0).cast("long"), F.col("space") - 1)).alias("number"))
+    text = _numbered(F.col("shape"), F.col("number"))
+    text = F.when(F.col("kind") == "email", F.concat_ws("@", text, "domain")).otherwise(text)
+    used = named.where("free").select("kind", "surrogate").unionByName(real.select("kind", "surrogate"))
+    numbers = numbers.withColumn("surrogate", text).join(used, ["kind", "surrogate"], "left_anti")
+
+    def place(*parts: Column) -> Column:
+        return F.row_number().over(Window.partitionBy(*group).orderBy(_digest(F.lit(key), *parts), *parts))
+
+    numbers = numbers.select(*group, "number", place(F.col("surrogate")).alias("place"))
+    counts = numbers.groupBy(*group).agg(F.count("*").alias("n"))
+    waiting = left.where(small).withColumn("place", place(F.col("canonical")))
+    found = waiting.join(numbers, [*group, "place"], "left").join(counts, group, "left")
+    grown = F.col("space") + F.col("place") - F.coalesce("n", F.lit(0)) - 1
+    attempt = RANDOM + F.coalesce("number", grown)
+    found = found.select("kind", "canonical", attempt.alias("attempt"))
+    again = left.where(~small).select("kind", "canonical", (F.col("attempt") + 1).alias("attempt"))
+    return found.unionByName(again).withColumn("held", F.lit(False))
 
 
 def replace_entities(df: DataFrame, key: str, text_col: str = "text", found_col: str | None = None) -> DataFrame:
@@ -332,7 +461,7 @@ def replace_entities(df: DataFrame, key: str, text_col: str = "text", found_col:
         lists = occurrences.join(again, ["kind", "canonical"]).groupBy("h").agg(F.map_from_entries(F.collect_set(entry)).alias(x))
         rows = rows.withColumn(h, F.xxhash64(text_col)).join(lists.withColumnRenamed("h", h), h, "left").drop(h)
     else:
-        rows = rows.withColumn(x, F.lit(None).cast("map<string,int>"))
+        rows = rows.withColumn(x, F.lit(None).cast("map<string,bigint>"))
 
     def made(f: Column) -> Column:
         attempt = F.coalesce(F.col(x)[F.concat_ws("\x1f", f["kind"], f["canonical"])], F.lit(0))

@@ -175,6 +175,103 @@ def test_surrogates_do_not_collide(spark):
     assert len({r.found[0].surrogate.split()[-1] for r in got}) == 1  # one family
 
 
+#: Texts that once overflowed the stack of the regular expressions, or repeat what loops of theirs take.
+REPEATED = [
+    ("x@" + "a." * 20_000 + "!", []),
+    ("Mr " + "von " * 20_000 + "X", None),
+    ("Mr " + "J." * 20_000 + " Smith", None),
+    ("Mr " + "Al " * 20_000, None),
+    ("Mr A" + "’B" * 20_000, None),
+    ("Mr A " + "de " * 20_000 + "é", None),
+    ("pwd=" + "k" * 20_000, ["secret"]),
+    ("a" * 20_000 + "@example.org", ["email"]),
+    ("a." * 20_000 + "@b", []),
+    ("AKIA" * 20_000, []),
+    ("sk-" + "b" * 20_000, ["access_key"]),
+    ("1." * 20_000, []),
+    ("1a:" * 20_000, []),
+    ("DE89" + " 3704" * 20_000, None),
+    ("123-45-" * 20_000, None),
+    ("+1" + " 555" * 20_000, None),
+    ("4" * 20_000, []),
+    ("4 " * 20_000, None),
+    ("Frau Dr. " * 20_000, None),
+]
+
+
+def test_long_repeats_do_not_overflow(spark):
+    few = [(k, t + "\n\nand ana@example.org") for k, (t, _) in enumerate(REPEATED) if not t.startswith(("DE", "123", "+1", "4 "))]
+    df = spark.createDataFrame(few, "doc_id long, text string")
+    for r in surrogates.replace_entities(df, "k", found_col="found").collect():
+        kinds, wanted = [f.kind for f in r.found], REPEATED[r.doc_id][1]
+        assert kinds[-1] == "email" and "ana@" not in r.text[-30:]
+        if wanted is not None:
+            assert kinds[:-1] == wanted and (wanted or r.text.startswith(REPEATED[r.doc_id][0]))
+
+
+def test_long_repeats_of_each_pattern(spark):
+    df = spark.createDataFrame([(t,) for t, _ in REPEATED], "text string")
+    parts = [F.size(F.split("text", p)) - F.regexp_count("text", F.lit(p)) for p in surrogates.PATTERNS.values()]
+    assert all(set(r) == {1} for r in df.select(*[c.alias(k) for k, c in zip(surrogates.PATTERNS, parts, strict=True)]).collect())
+
+
+SPELLINGS = {
+    "MR JOHN SMITH": "person",
+    "Mr\u00a0Lee": "person",
+    "Mr  John   Lee": "person",
+    "Frau Anna\nvon der Leyen": "person",
+    "Dr. Mary Jones": "person",
+    "Dr Jones": "person",
+    "2001:db8:0:1:1:1:1:1": "ipv6",
+    "2001:DB8::FF00:42": "ipv6",
+    "fe80::1:2": "ipv6",
+    "o'neil@example.org": "email",
+}
+
+
+def test_spellings(spark):
+    df = spark.createDataFrame([(f"then {t}, it left.",) for t in SPELLINGS], "text string")
+    for (text, kind), r in zip(SPELLINGS.items(), surrogates.replace_entities(df, "k", found_col="found").collect(), strict=True):
+        assert [f.kind for f in r.found] == [kind] and r.text == f"then {r.found[0].surrogate}, it left."
+        made = r.found[0].surrogate
+        assert made != text and [c for c in made if not c.isalnum()] == [c for c in text if not c.isalnum()] or kind == "email" and "neil" not in made
+        assert made.isupper() == text.isupper()
+
+
+def test_surrogates_of_one_name_in_capitals(spark):
+    df = spark.createDataFrame([("Mr John Smith",), ("MR JOHN SMITH",), ("Mr\u00a0John Smith",)], "text string")
+    plain, capitals, spaced = (r.text for r in surrogates.replace_entities(df, "k").collect())
+    assert plain.upper() == capitals and spaced.replace("\u00a0", " ") == plain
+
+
+def iban_rest(iban):
+    plain = iban.replace(" ", "")
+    return int("".join(str(int(c, 36)) for c in plain[4:] + plain[:4])) % 97
+
+
+def test_ibans_stay_as_valid_as_they_were(spark):
+    ibans = ["DE89 3704 0044 0532 0130 00", "GB82 WEST 1234 5698 7654 32", "FR1420041010050500013M02606", "DE00 3704 0044 0532 0130 00"]
+    df = spark.createDataFrame([(f"to {i} now",) for i in ibans], "text string")
+    for old, r in zip(ibans, surrogates.replace_entities(df, "k", found_col="found").collect(), strict=True):
+        new = r.found[0].surrogate
+        assert r.found[0].kind == "iban" and new[:2] == old[:2] and new != old
+        assert (iban_rest(new) == 1) == (iban_rest(old) == 1)
+
+
+def test_a_small_format_is_used_up_before_it_grows(spark):
+    """26 one-letter addresses of a domain, and more secrets of one digit than there are digits that are no secrets."""
+    letters = [f"{c}@example.org" for c in "abcdefghijklmnopqrstuvwxyz"]
+    secrets = [f"pwd=***{n}" for n in range(6)]
+    df = spark.createDataFrame([(t,) for t in letters + secrets], "text string")
+    got = [r.text for r in surrogates.replace_entities(df, "k").collect()]
+    assert len(set(got)) == len(got) and not set(got) & set(letters + secrets)
+    mails, made = got[:26], got[26:]
+    assert len({m.split("@")[1] for m in mails}) == 1 and sorted(m.split("@")[0] for m in mails) == sorted("abcdefghijklmnopqrstuvwxyz")
+    # the four digits left are all used, and only two secrets grow
+    assert sorted(m for m in made if len(m) == len(secrets[0])) == [f"pwd=***{n}" for n in range(6, 10)]
+    assert all(m.startswith("pwd=***") for m in made)
+
+
 def test_mixture(odd, nothing):
     got = mixture.mix(odd, count_words(F.col("text"))).collect()
     assert len(got) == len(ROWS)
