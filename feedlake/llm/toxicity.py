@@ -135,24 +135,26 @@ def fit_toxicity(
         for batch in batches:
             for y, text in zip(batch.column("y").to_pylist(), batch.column("text").to_pylist(), strict=True):
                 if len(found := _bag(text)):
-                    yield pa.RecordBatch.from_pydict({"y": [y], "ids": [found.astype(np.int32)]})
+                    # there are 2^16 buckets, so two bytes hold one
+                    yield pa.RecordBatch.from_pydict({"y": [y], "ids": [found.astype(np.uint16).tobytes()]})
 
-    found = bags.select("y", "text").mapInArrow(bagged, "y long, ids array<int>").toArrow()
+    found = bags.select("y", "text").mapInArrow(bagged, "y long, ids binary").toArrow()
     labels_of = found.column("y").to_numpy()
     if len(np.unique(labels_of)) < 2:
         share = sizes.get(1, 0) / max(1, sum(sizes.values()))
         share = min(max(share, 1e-6), 1 - 1e-6)
         return ToxicityModel(np.zeros(1 << BITS, np.float32), math.log(share / (1 - share)))
-    lists = found.column("ids").combine_chunks()
-    begins, flat = lists.offsets.to_numpy().astype(np.int64), lists.values.to_numpy()
+    sizes_of, content, first = (np.zeros(len(labels_of), np.int64) for _ in range(3))
+    parts = [np.frombuffer(b.as_py(), np.uint16) for b in found.column("ids")]
+    del found
+    for k, part in enumerate(parts):
+        sizes_of[k], content[k], first[k] = len(part), part.sum(dtype=np.int64), part[0]
     # a fixed order, so that a rerun fits the same model wherever the rows came from
-    content = np.add.reduceat(flat.astype(np.int64), begins[:-1])
-    order = np.lexsort((flat[begins[:-1]], content, np.diff(begins), labels_of))
-    starts = np.concatenate(([0], np.cumsum(np.diff(begins)[order])))
-    # there are 2^16 buckets, so two bytes hold one
-    ids = np.concatenate([flat[begins[k] : begins[k + 1]].astype(np.uint16) for k in order])
+    order = np.lexsort((first, content, sizes_of, labels_of))
+    starts = np.concatenate(([0], np.cumsum(sizes_of[order])))
+    ids = np.concatenate([parts[k] for k in order])
     labels_of = labels_of[order]
-    del found, lists, flat
+    del parts
     values, bias = _fit_arrays(starts, ids, labels_of)
     return ToxicityModel(values.astype(np.float32), bias)
 
