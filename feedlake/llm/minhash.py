@@ -41,6 +41,8 @@ FLOOR_SIGMAS = 6.5
 STAR_ROUNDS = 2
 #: Shingle sets of one side in a task that compares blocks, about.
 BLOCK = 256
+#: Links that one task may settle.
+FEW_LINKS = 1 << 18
 #: Word hashes a worker remembers before it starts over.
 CACHE_WORDS = 100_000
 _CHUNK = 1024
@@ -172,13 +174,42 @@ def shingle_sets(df: DataFrame, id_col: str, text_col: str, size: int, wanted: I
     return narrow.mapInArrow(made, "doc_id long, shingles array<long>")
 
 
-def components(links: DataFrame) -> DataFrame:
+def components(links: DataFrame, few: int = FEW_LINKS) -> DataFrame:
     """``(node, component)`` of links ``(a, b)``: the smallest node that can be reached.
 
-    Each round a node takes the smallest component among its neighbours' and
-    then its component's own component; rounds go on until nothing changes.
+    Up to ``few`` links are settled by one task, which holds no more than these;
+    more of them in rounds over all executors.
     """
-    both = links.select("a", "b").unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    links = written(links.select("a", "b").distinct())
+    if links.count() <= few:
+        return written(links.coalesce(1).mapInArrow(_joined, "node long, component long"))
+    return _components_in_rounds(links)
+
+
+def _joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """All links of one task: both ends, and what they belong to, take the smaller label until none changes."""
+    found = [(b.column("a").to_numpy(), b.column("b").to_numpy()) for b in batches if b.num_rows]
+    if not found:
+        return
+    ends = np.concatenate([np.concatenate(side) for side in zip(*found)])
+    nodes, ends = np.unique(ends, return_inverse=True)
+    a, b = ends[: len(ends) // 2], ends[len(ends) // 2 :]
+    label = np.arange(len(nodes))
+    while True:
+        least = np.minimum(label[a], label[b])
+        new = label.copy()
+        for owner in (a, b, label[a], label[b]):
+            np.minimum.at(new, owner, least)
+        new = new[new]
+        if np.array_equal(new, label):
+            break
+        label = new
+    yield pa.RecordBatch.from_pydict({"node": pa.array(nodes), "component": pa.array(nodes[label])})
+
+
+def _components_in_rounds(links: DataFrame) -> DataFrame:
+    """Each round a node takes the smallest component among its neighbours' and then its component's own component."""
+    both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
     both = written(both.distinct())
     labels = written(both.groupBy(F.col("a").alias("node")).agg(F.least(F.first("a"), F.min("b")).alias("component")))
     while True:
@@ -199,6 +230,16 @@ def components(links: DataFrame) -> DataFrame:
             return labels
 
 
+def _several_texts(full: DataFrame, classes: DataFrame) -> DataFrame:
+    """Links between the classes of ids that have several texts; such rows are one document."""
+    key = F.xxhash64("set_key")
+    several = full.groupBy("doc_id").agg(F.min(key).alias("low"), F.max(key).alias("high")).where("low <> high")
+    several = written(full.join(several.select("doc_id"), "doc_id", "left_semi").select("doc_id", "set_key").distinct())
+    named = written(several.join(classes.select("set_key", "rep"), "set_key").select("doc_id", "rep"))
+    low = named.groupBy("doc_id").agg(F.min("rep").alias("a"))
+    return named.join(low, "doc_id").where("a < rep").select("a", F.col("rep").alias("b"))
+
+
 def near_duplicates(
     df: DataFrame,
     id_col: str = "doc_id",
@@ -210,7 +251,8 @@ def near_duplicates(
 
     Documents whose shingle sets have a Jaccard similarity of ``limit`` or more
     are linked; ``component_id`` is the smallest id that can be reached. Null and
-    empty texts have empty sets and are linked with nothing. Rows with the same
+    empty texts have empty sets and are linked with nothing: their component is
+    their own id. Rows with the same
     id are one document, whose links are those of all its texts; rows without id
     are linked with nothing, have no component and are kept. Texts of any length
     are read whole. Other columns are not used; an empty table gives no rows.
@@ -263,14 +305,16 @@ def near_duplicates(
         labels = components(links)
         # a centre has been compared with all others of its bucket
         members = written(_unsettled(spokes.where("rep <> centre").select("bucket", "rep"), labels))
-    links = links.unionByName(_block_links(members, picked_sets, limit))
+    links = links.unionByName(_block_links(members, picked_sets, limit)).unionByName(_several_texts(full, classes))
     labels = components(links)
     ids = signed.select("doc_id", "n_shingles", "set_key")
+    # a class is the smallest id with that set
     reps = classes.select("set_key", "rep").join(labels.withColumnRenamed("node", "rep"), "rep", "left")
     reps = reps.select("set_key", F.coalesce("component", "rep").alias("component"))
-    named = ids.join(reps, "set_key", "left")
-    # a class is the smallest id with that set; ids with several texts tie their classes together
-    component = F.when(F.col("doc_id").isNotNull(), F.when(F.col("n_shingles") > 0, F.col("component")).otherwise(F.col("doc_id")))
+    named = ids.where("n_shingles > 0").join(reps, "set_key", "left")
+    # all empty sets share their key, so they stay out of the join
+    named = named.unionByName(ids.where("n_shingles = 0").withColumn("component", F.lit(None).cast("long")))
+    component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id"))
     return named.select(
         "doc_id",
         "n_shingles",

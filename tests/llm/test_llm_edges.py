@@ -3,6 +3,7 @@
 import hashlib
 import math
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -302,6 +303,26 @@ def test_minhash(odd, nothing):
     assert minhash.near_duplicates(nothing).count() == 0
 
 
+def test_an_id_with_several_texts_is_one_document(spark):
+    one, two, three = ("x y z " * 9 + "a", "k l m " * 9 + "b", "p q r " * 9 + "c")
+    df = spark.createDataFrame([(3, two), (8, one), (8, two), (9, one), (5, three), (5, ""), (7, "")], "doc_id long, text string")
+    got = {(r.doc_id, r.n_shingles > 0): (r.component_id, r.kept) for r in minhash.near_duplicates(df, size=2).collect()}
+    assert got == {(3, True): (3, True), (8, True): (3, False), (9, True): (3, False), (5, True): (5, True), (5, False): (5, True), (7, False): (7, True)}
+
+
+@pytest.mark.parametrize("few", [0, 1 << 18])
+def test_components(spark, few):
+    rng = np.random.default_rng(2)
+    links = [(int(a), int(b)) for a, b in rng.integers(0, 400, (260, 2)) if a != b] + [(k, k + 1) for k in range(1_000, 1_100)]
+    wanted = {n: n for link in links for n in link}
+    for _ in wanted:
+        for a, b in links:
+            wanted[a] = wanted[b] = min(wanted[a], wanted[b])
+    got = minhash.components(spark.createDataFrame(links, "a long, b long"), few)
+    assert {r.node: r.component for r in got.collect()} == wanted
+    assert minhash.components(spark.createDataFrame([], "a long, b long"), few).count() == 0
+
+
 def test_a_pair_at_the_limit_is_hardly_ever_under_the_floor():
     floor, chance, n = minhash.estimate_floor(0.8), 2.0**-minhash.LOW_BITS, minhash.HASHES
     equal = 0.8 + 0.2 * chance
