@@ -1,9 +1,9 @@
 """Chat formatting in DataFrame operations only.
 
 Records come in many layouts: a prompt and a completion, an instruction with an
-input, lists of messages, rows by turn. The nested field paths a record has are
-hashed; the hash selects a declarative mapping that turns the record into
-canonical turns (conversation, turn, role, text). A template then writes each
+input, lists of messages, rows by turn. The nested field paths that a record, or
+a table, has are hashed; the hash selects a declarative mapping to canonical
+turns (conversation, turn, role, text). A template then writes each
 conversation as one text and notes which parts of it are learnt from:
 
     ### <role>:
@@ -17,13 +17,19 @@ unescaping gives back every text as it was.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass, field
+from functools import cache
+from itertools import combinations
 
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StructType
 from pyspark.sql.window import Window
 
+from feedlake.plans.handoff import written
+
 OPEN = "### "
 BREAK = ":\n"
 CLOSE = "\n</turn>\n"
@@ -51,26 +57,23 @@ class Layout:
 
     def paths(self) -> list[str]:
         if self.messages:
-            return [self.messages, *(f"{self.messages}[0].{f}" for f in (self.role_field, self.text_field))]
+            return [self.messages, f"{self.messages}[0].{self.role_field}"]
         return [p for _, p in self.turns]
 
-    def variants(self) -> list[frozenset[str]]:
-        """Sets of known paths a record of this layout may have."""
-        needed = frozenset(p for p in self.paths() if p not in self.optional)
-        found = [needed]
-        for p in self.optional:
-            found += [v | {p} for v in found]
-        return found
+    def required(self) -> list[str]:
+        return [p for p in self.paths() if p not in self.optional]
 
 
+_SYSTEM = ("system", "$.system")
+#: In order of preference: of the layouts whose required paths a record has, the first one counts.
 LAYOUTS = (
     Layout("messages", messages="$.messages"),
     Layout("from_value", messages="$.conversations", role_field="from", text_field="value"),
-    Layout("prompt_completion", (("user", "$.prompt"), ("assistant", "$.completion"))),
-    Layout("prompt_response", (("system", "$.system"), ("user", "$.prompt"), ("assistant", "$.response")), optional=("$.system",)),
-    Layout("question_answer", (("user", "$.question"), ("assistant", "$.answer"))),
+    Layout("prompt_completion", (_SYSTEM, ("user", "$.prompt"), ("assistant", "$.completion")), optional=("$.system",)),
+    Layout("prompt_response", (_SYSTEM, ("user", "$.prompt"), ("assistant", "$.response")), optional=("$.system",)),
+    Layout("question_answer", (_SYSTEM, ("user", "$.question"), ("assistant", "$.answer")), optional=("$.system",)),
     Layout("instruction", (("system", "$.instruction"), ("user", "$.input"), ("assistant", "$.output"))),
-    Layout("instruction_only", (("user", "$.instruction"), ("assistant", "$.output"))),
+    Layout("instruction_only", (_SYSTEM, ("user", "$.instruction"), ("assistant", "$.output")), optional=("$.system",)),
 )
 
 
@@ -89,18 +92,21 @@ def turns_of_records(
     """Canonical turns ``(conv_id, turn, role, text)`` of a column of JSON records.
 
     A record's fingerprint is the hash of those paths of all layouts that it
-    has; fields no layout knows do not matter. Records that are null, no JSON, or
-    of no declared layout give no turns; :func:`record_layouts` tells which those
-    are. Roles are lower-cased and put into the common names.
+    has, and selects the first layout whose required paths are among them; other
+    fields do not matter. Records that are null, no JSON, or of no declared
+    layout, an empty list of messages included, give no turns. With
+    ``keep_unmatched`` they stay as a row whose ``turn``, ``role`` and ``text``
+    are null, and a column ``layout`` tells them from turns. Roles are
+    lower-cased and put into the common names.
     """
     found = _fingerprinted(df, json_col, id_col, layouts)
     turns = F.lit(None).cast("array<struct<role:string,text:string>>")
     for layout in layouts:
         turns = F.when(F.col("layout") == layout.name, _mapped(layout)).otherwise(turns)
-    return (
-        found.select(F.col("conv_id"), F.posexplode(turns).alias("turn", "t"))
-        .select("conv_id", F.col("turn").cast("long").alias("turn"), "t.role", "t.text")
-    )
+    rows = found.select("conv_id", "layout", F.posexplode_outer(turns).alias("turn", "t"))
+    rows = rows if keep_unmatched else rows.where("turn IS NOT NULL").drop("layout")
+    kept = [c for c in rows.columns if c == "layout"]
+    return rows.select("conv_id", F.col("turn").cast("long").alias("turn"), "t.role", "t.text", *kept)
 
 
 def _mapped(layout: Layout) -> Column:
@@ -130,13 +136,15 @@ def record_layouts(
 def _fingerprinted(df: DataFrame, json_col: str, id_col: str, layouts: tuple[Layout, ...]) -> DataFrame:
     rows = df.select(F.col(id_col).alias("conv_id"), F.try_parse_json(F.col(json_col)).alias("v"))
     has = [F.when(F.try_variant_get("v", p, "variant").isNotNull(), F.lit(p)) for p in known_paths(layouts)]
-    rows = rows.withColumn("fingerprint", fingerprint(F.array_compact(F.array(*has))))
+    rows = rows.withColumn("paths", F.array_compact(F.array(*has))).withColumn("fingerprint", fingerprint(F.col("paths")))
+    # as many rows as there are sets of known paths in the records
+    sets = rows.groupBy("fingerprint").agg(F.first("paths").alias("paths"))
     name = F.lit(None).cast("string")
     for layout in reversed(layouts):
-        for paths in layout.variants():
-            wanted = fingerprint(F.array(*[F.lit(p) for p in sorted(paths)]))
-            name = F.when(F.col("fingerprint") == wanted, F.lit(layout.name)).otherwise(name)
-    return rows.withColumn("layout", F.when(F.col("v").isNotNull(), name))
+        needed = F.array(*map(F.lit, layout.required()))
+        name = F.when(F.size(F.array_except(needed, "paths")) == 0, F.lit(layout.name)).otherwise(name)
+    mappings = written(sets.select("fingerprint", name.alias("layout")))
+    return rows.drop("paths").join(mappings, "fingerprint", "left")
 
 
 def _common_role(role: Column) -> Column:
@@ -157,29 +165,53 @@ def schema_paths(schema: StructType, above: str = "") -> list[str]:
     return sorted(found)
 
 
-#: Tables by turn: the paths that must be there, and their canonical names.
-TURN_ROWS = {"conv_id": "conv_id", "turn": "turn", "role": "role", "text": "text"}
+def _rows_by_turn(df: DataFrame) -> DataFrame:
+    return df.select("conv_id", "turn", "role", "text")
+
+
+def _message_lists(df: DataFrame) -> DataFrame:
+    unfolded = df.select("conv_id", F.posexplode("messages").alias("turn", "m"))
+    return unfolded.select(
+        "conv_id", F.col("turn").cast("long").alias("turn"), _common_role(F.col("m.role")).alias("role"), F.col("m.content").alias("text")
+    )
+
+
+#: Table layouts in order of preference: the paths that must be there, and the mapping.
+TABLES: dict[tuple[str, ...], Callable[[DataFrame], DataFrame]] = {
+    ("conv_id", "turn", "role", "text"): _rows_by_turn,
+    ("conv_id", "messages[].role", "messages[].content"): _message_lists,
+}
+
+
+def _path_hash(paths: frozenset[str]) -> int:
+    """What :func:`fingerprint` is for columns."""
+    unsigned = xxhash.xxh64("\n".join(sorted(paths)), seed=42).intdigest()
+    return unsigned - (1 << 64) if unsigned >> 63 else unsigned
+
+
+@cache
+def _table_mappings() -> dict[int, Callable[[DataFrame], DataFrame]]:
+    """The mapping of every set of known paths that holds those of a layout, by fingerprint."""
+    known = sorted({p for needed in TABLES for p in needed})
+    sets = [frozenset(s) for n in range(len(known) + 1) for s in combinations(known, n)]
+    fitting = {s: [mapping for needed, mapping in TABLES.items() if s.issuperset(needed)] for s in sets}
+    return {_path_hash(s): mappings[0] for s, mappings in fitting.items() if mappings}
 
 
 def turns_of_table(df: DataFrame) -> DataFrame:
     """Canonical turns of a table whose nested columns, not JSON, have the layout.
 
-    Rows by turn are taken as they are, further columns are left out. A table with
-    ``conv_id`` and a list ``messages`` of role and content is unfolded. Anything
-    else is refused.
+    The fingerprint of the table's paths selects the mapping, as that of a
+    record does. Rows by turn are taken as they are; a table with ``conv_id``
+    and a list ``messages`` of role and content is unfolded. Further columns are
+    left out; a table of no declared layout is refused.
     """
-    paths = set(schema_paths(df.schema))
-    if set(TURN_ROWS) <= paths:
-        return df.select(*[F.col(c).alias(name) for c, name in TURN_ROWS.items()])
-    if {"conv_id", "messages[].role", "messages[].content"} <= paths:
-        unfolded = df.select("conv_id", F.posexplode("messages").alias("turn", "m"))
-        return unfolded.select(
-            "conv_id",
-            F.col("turn").cast("long").alias("turn"),
-            _common_role(F.col("m.role")).alias("role"),
-            F.col("m.content").alias("text"),
-        )
-    raise ValueError(f"no layout is declared for a table with the paths {sorted(paths)}")
+    paths = frozenset(schema_paths(df.schema))
+    known = frozenset(p for needed in TABLES for p in needed)
+    mapping = _table_mappings().get(_path_hash(paths & known))
+    if mapping is None:
+        raise ValueError(f"no layout is declared for a table with the paths {sorted(paths)}")
+    return mapping(df)
 
 
 def escape(text: Column, role: bool = False) -> Column:

@@ -372,6 +372,39 @@ def test_chat_layouts(spark):
     assert layouts[1] == "messages" and layouts[7] is layouts[8] is layouts[9] is None
 
 
+def test_chat_records_with_fields_of_several_layouts(spark):
+    records = [
+        (1, '{"prompt": "other", "messages": [{"role": "user", "content": "q"}, {"role": "assistant", "content": "a"}], "system": "s"}'),
+        (2, '{"messages": []}'),
+        (3, '{"question": "q", "answer": "a", "system": "s"}'),
+        (4, '{"messages": [{"role": "user"}, {"role": "assistant", "content": "a"}]}'),
+        (5, '{"messages": [], "prompt": "q", "completion": "a"}'),
+        (6, None),
+    ]
+    df = spark.createDataFrame(records, "conv_id long, record string")
+    got = {}
+    for r in chat.turns_of_records(df, "record", keep_unmatched=True).orderBy("conv_id", "turn").collect():
+        got.setdefault(r.conv_id, []).append((r.layout, r.turn, r.role, r.text))
+    pair = [("user", "q"), ("assistant", "a")]
+    assert got == {
+        1: [("messages", k, *t) for k, t in enumerate(pair)],
+        2: [(None, None, None, None)],
+        3: [("question_answer", k, *t) for k, t in enumerate([("system", "s"), *pair])],
+        4: [("messages", k, *t) for k, t in enumerate([("user", None), ("assistant", "a")])],
+        5: [("prompt_completion", k, *t) for k, t in enumerate(pair)],
+        6: [(None, None, None, None)],
+    }
+
+
+def test_chat_tables_are_told_by_their_fingerprint(spark):
+    rows = spark.sql("SELECT 1L AS conv_id, 0L AS turn, 'user' AS role, 'q' AS text, 'x' AS extra")
+    lists = spark.sql("SELECT 1L AS conv_id, array(named_struct('role', 'Human', 'content', 'q', 'n', 1)) AS messages, 2 AS turn")
+    for df in (rows, lists):
+        assert [tuple(r) for r in chat.turns_of_table(df).collect()] == [(1, 0, "user", "q")]
+    paths = ["a", "b[].c"]
+    assert chat._path_hash(frozenset(paths)) == spark.range(1).select(chat.fingerprint(F.array(*map(F.lit, paths)))).first()[0]
+
+
 @pytest.mark.parametrize("name", [n for n, _ in corpus_pipeline.STAGES])
 def test_stages(spark, odd, nothing, sf_dir, name):
     stage = dict(corpus_pipeline.STAGES)[name]
