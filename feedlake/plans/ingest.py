@@ -58,11 +58,13 @@ from feedlake.operators.typing_rules import (
     parse_doubles,
 )
 from feedlake.operators.unpack import WidthError, unpack, width_ok
-from feedlake.plans.handoff import cleared_after, delete_folder, fresh_folder, from_driver, written
+from feedlake.plans.handoff import cleared_after, fresh_folder, from_driver, written
+from feedlake.plans.steps import Steps, fingerprint
 from feedlake.session import configure
 from feedlake.sinks.ledger import Ledger
 from feedlake.sinks.manifest import STALE_SECONDS, Publication
 from feedlake.sources.discover import discover, route_kind, union_sources
+from feedlake.sources.inference import least_type, state
 from feedlake.sources.registry import (
     load_registry,
     prune_schema,
@@ -126,6 +128,8 @@ class LoadConfig:
     money_on_error: str = "fail"
     parallel_tables: int = 4
     accept_partial: bool = False
+    # whether columns of the queue export that the registry gives no type get the least one that holds their texts
+    infer_queue_types: bool = False
     # seconds after which another run's hold on the day counts as left behind
     stale_after: float = STALE_SECONDS
     # whether published files of unknown input may be replaced
@@ -484,18 +488,21 @@ def rejected_lines(
 
 
 def queue_rows(
-    spark: SparkSession, paths: Sequence[str], names: Sequence[str]
+    spark: SparkSession, paths: Sequence[str], names: Sequence[str], infer: bool = False
 ) -> tuple[DataFrame, DataFrame, int]:
     """Typed rows of queue exports, the rejected (too long) rows and their number.
 
-    A first pass gives one verdict per file: its long rows and, for each date
-    column, whether the first format fits. The second pass types the rows.
+    A first pass gives one verdict per file: its long rows, for each date
+    column, whether the first format fits, and with ``infer`` the kinds of texts
+    in each column that the registry gives no type. The second pass types the
+    rows.
     """
     types = split_types(names)
     dates = date_columns(types)
-    scanned = scan_delimited(spark, list(paths), list(types))
+    scanned = scan_delimited(spark, paths, list(types))
     fits = F.col(OVERFLOW).isNull()
     short = null_tokens(scanned, types)
+    open_types = [c for c, t in types.items() if infer and t == "string" and c not in dates]
     verdicts = written(
         short.groupBy("file").agg(
             F.count_if(~fits).alias("long_rows"),
@@ -503,8 +510,12 @@ def queue_rows(
                 F.bool_and(~fits | parses(F.col(c), QUEUE_DATE_FORMATS[0])).alias(f"_ok_{c}")
                 for c in dates
             ),
+            *(state(F.when(fits, F.col(c))).alias(f"_kinds_{c}") for c in open_types),
         )
     )
+    if open_types:
+        found = verdicts.agg(*(F.bit_or(f"_kinds_{c}").alias(c) for c in open_types)).first()
+        types |= {c: least_type([found[c] or 0]) for c in open_types}
     dated = apply_formats(
         short.where(fits), verdicts, dates, QUEUE_DATE_FORMATS, ["file"], last="fail"
     )
@@ -544,19 +555,29 @@ def _load_feeds(
     cfg: LoadConfig,
     totals: _Totals,
     publication: Publication,
+    steps: Steps,
 ) -> None:
-    """Stage the tables of these files; those of other files stay as they are published."""
+    """Stage the tables of these files; those of other files stay as they are published.
+
+    Bronze and verdicts of a failed run over the same files are taken up again.
+    """
     headers = read_headers(spark, files, cfg)
     paths = _paths(headers.withColumnRenamed("file", "path"))
+    versions = sorted((r.path, r.modificationTime, r.length) for r in files.select("path", "modificationTime", "length").toLocalIterator())
     if not paths:
         return
 
     schemas = {k: RecordSchema.of(k, v, cfg.exclude_columns) for k, v in entries.items()}
-    dropped = Observation()
-    lines = bronze_lines(spark, paths, headers, schemas, cfg, dropped)
-    bronze = write_bronze(lines, f"{cfg.work}/bronze")
-    totals.dropped += dropped.get["named"]
-    verdicts = judge_bronze(bronze, f"{cfg.work}/verdicts")
+
+    def bronze_step(path: str) -> tuple[DataFrame, dict]:
+        dropped = Observation()
+        made = write_bronze(bronze_lines(spark, paths, headers, schemas, cfg, dropped), path)
+        return made, {"dropped": dropped.get["named"]}
+
+    key = fingerprint(versions, entries, cfg.exclude_columns, cfg.repairs, cfg.prefixes, cfg.anchored_headers, cfg.trim_lines)
+    bronze, facts = steps.take("bronze", key, bronze_step)
+    totals.dropped += facts["dropped"]
+    verdicts, _ = steps.take("verdicts", key, lambda path: (judge_bronze(bronze, path), {}))
     day = plan_day(verdicts, schemas, cfg)
     totals.held_back += day.held_back
     totals.rejected += day.unusable + day.bad_rows
@@ -611,7 +632,7 @@ def _load_queue(
         totals.rejects.append(missing)
         totals.partial.append(missing.select("file").distinct())
         return
-    rows, rejects, too_long = queue_rows(spark, paths, entries[QUEUE_KEY])
+    rows, rejects, too_long = queue_rows(spark, paths, entries[QUEUE_KEY], cfg.infer_queue_types)
     if too_long and cfg.fail_fast:
         raise WidthError(f"{too_long} queue rows with too many fields")
     done = publication.stage(rows, QUEUE_RECORDTYPE, QUEUE_RECORDTYPE, SOURCE, paths)
@@ -629,13 +650,15 @@ def _load(
     files = written(mark_fresh(route_kind(payloads), ledger.files())).where("fresh")
     kinds = {row.kind for row in files.select("kind").distinct().collect()}
     totals = _Totals()
+    # whoever holds the day may use and clear them
+    steps = Steps(spark, f"{cfg.ledger.rstrip('/')}.steps/{cfg.syncday}")
     if not kinds:
         return LoadResult(task_id, "nothing_pending", 0, 0, 0, {}, None)
     entries = registry_entries(load_registry(spark, cfg.registry))
     if "queue" in kinds:
         _load_queue(spark, _paths(files.where("kind = 'queue'")), entries, cfg, totals, publication)
     if "feed" in kinds:
-        _load_feeds(spark, files.where("kind = 'feed'"), entries, cfg, totals, publication)
+        _load_feeds(spark, files.where("kind = 'feed'"), entries, cfg, totals, publication, steps)
     rejects = None
     if totals.rejects:
         rejects = written(union_sources(*totals.rejects), f"{cfg.work}/rejects")
@@ -648,6 +671,7 @@ def _load(
             "status", F.when(F.col("file").isNull(), "ok").otherwise("partial")
         )
     ledger.append_files(fresh, task_id, cfg.syncday)
+    steps.clear()
     touched = sorted({(e.recordtype, e.feed) for e in publication.staged})
     tables = {f"{recordtype}/{feed}": manifest.rows(feed, recordtype) for recordtype, feed in touched}
     return LoadResult(
@@ -666,7 +690,8 @@ def daily_load(spark: SparkSession, cfg: LoadConfig) -> LoadResult:
     """Check, load and publish the sync day's files, and note the run in the ledger.
 
     A failed run is noted as such and its error is raised again; running the
-    day once more redoes what was not finished. Of the intermediate tables of a
+    day once more redoes what was not finished. Its bronze and verdicts lie
+    beside the ledger until a run of the day ends well. Of the intermediate tables of a
     run that ends well only the rejects stay.
     """
     configure(spark)
@@ -684,8 +709,6 @@ def daily_load(spark: SparkSession, cfg: LoadConfig) -> LoadResult:
         hold = Publication(spark, cfg.target, cfg.syncday, task_id, cfg.stale_after, cfg.replace_unmanaged)
         with cleared_after(spark), hold as publication:
             result = _load(spark, cfg, ledger, task_id, publication)
-        for own in ("bronze", "verdicts"):
-            delete_folder(spark, f"{cfg.work}/{own}")
     except Exception as error:
         ledger.record(**run, end=datetime.now(timezone.utc), error=f"{type(error).__name__}: {error}")
         raise

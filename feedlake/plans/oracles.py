@@ -4,6 +4,9 @@ from __future__ import annotations
 
 ORACLES: dict[str, str] = {
     "delimited_scan": "SELECT 'QueueExport' AS recordtype, * FROM customer",
+    "queue_inferred": """
+        SELECT 'QueueExport' AS recordtype, c_custkey, c_name, c_nationkey::BIGINT AS c_nationkey, c_acctbal, c_mktsegment
+        FROM customer""",
     "line_scan": """
         SELECT event_type, count(*) AS lines,
                sum(length(concat_ws('|', event_type, event_id, strftime(ts, '%Y%m%d%H%M%S'),
@@ -200,6 +203,7 @@ ORACLES: dict[str, str] = {
     "ingest_orders": "SELECT * FROM orders",
     "ingest_lineitem": "SELECT * FROM lineitem",
     "late_merge": "SELECT * FROM orders",
+    "resume_steps": "SELECT * FROM orders",
     "full_ingest": """
         SELECT 'ORD' AS recordtype, count(*) AS rows, sum(o_orderkey)::BIGINT AS keys,
                sum(o_totalprice::DECIMAL(18, 2))::DOUBLE AS amount,

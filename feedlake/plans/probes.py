@@ -10,6 +10,7 @@ from __future__ import annotations
 import json
 from collections.abc import Callable, Mapping
 from contextlib import suppress
+from dataclasses import replace
 
 from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -51,7 +52,7 @@ from feedlake.operators import (
     with_elapsed,
 )
 from feedlake.plans.handoff import fresh_folder, written
-from feedlake.plans.ingest import LoadConfig, daily_load
+from feedlake.plans.ingest import LoadConfig, daily_load, queue_rows
 from feedlake.plans.packing import name_files, pack, write_lines
 from feedlake.session import configure
 from feedlake.sinks import Ledger, publish, write_snapshot
@@ -117,12 +118,27 @@ def _stamp(text: Column | str) -> Column:
 
 def delimited_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     customer = _table(spark, sf_dir, "customer")
-    folder = write_lines(customer, pack(customer), fresh_folder(spark, "delimited"))
+    # names are quoted, with a separator, quotes and a line break in front
+    name = F.concat(F.lit('"| ""\n'), "c_name", F.lit('"'))
+    folder = fresh_folder(spark, "delimited")
+    quoted = customer.withColumn("c_name", name)
+    quoted.select(pack(quoted).alias("value")).write.text(folder)
     scanned = scan_delimited(spark, folder, customer.columns)
+    scanned = scanned.withColumn("c_name", F.replace("c_name", F.lit('| "\n'), F.lit("")))
     types = dict(customer.dtypes)
     return prepend_literal(_retyped(scanned, types), "recordtype", QUEUE_RECORDTYPE)
 
 
+def queue_inferred(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers as a queue export of a registry without types; the texts tell which columns hold numbers."""
+    customer = _table(spark, sf_dir, "customer")
+    root = fresh_folder(spark, "inferred")
+    parts = write_lines(customer, pack(customer), f"{root}/parts")
+    name_files(spark, parts, f"{root}/queue", "QueueExport", DAY, PAYLOAD_SUFFIX)
+    rows, _, _ = queue_rows(spark, f"{root}/queue", customer.columns, infer=True)
+    return rows.select("recordtype", *customer.columns)
+
+
 def line_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = _table(spark, sf_dir, "events")
     line = pack(events, ["event_type", "event_id", "ts", "user_id", "props"])
@@ -718,6 +734,19 @@ def late_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _retyped(_naive(table, "o_orderdate"), ORDERS)
 
 
+def resume_steps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A load that fails on an amount after its lines are bronze, and a second one that takes these up."""
+    root = fresh_folder(spark, "resume")
+    cfg = pack_feeds(spark, sf_dir, root)
+    bad = write_lines(spark.range(1), F.lit("0|x|0|none|"), f"{root}/parts/bad", f"HDR|{PLACEMENT_FEED}|{DAY}093000")
+    name_files(spark, bad, cfg.sources["second"], "Bad", DAY, PAYLOAD_SUFFIX)
+    with suppress(PySparkException):
+        daily_load(spark, cfg)
+    daily_load(spark, replace(cfg, money_on_error="null"))
+    table = spark.read.parquet(f"{cfg.target}/ORD/AcctActReturnFile")
+    return _retyped(_naive(table, "o_orderdate"), ORDERS)
+
+
 def full_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What each published table holds after a whole load."""
     cfg = _ingested(spark, sf_dir)
@@ -746,6 +775,7 @@ def full_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 PROBES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "delimited_scan": delimited_scan,
+    "queue_inferred": queue_inferred,
     "line_scan": line_scan,
     "file_select": file_select,
     "kind_route": kind_route,
@@ -784,4 +814,5 @@ PROBES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "ingest_lineitem": ingest_lineitem,
     "full_ingest": full_ingest,
     "late_merge": late_merge,
+    "resume_steps": resume_steps,
 }

@@ -2,18 +2,19 @@
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterable, Sequence
 from functools import reduce
 from urllib.parse import unquote
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from feedlake.constants import NULL_TOKENS
 from feedlake.functions.text import drop_null_tokens
 from feedlake.plans.handoff import fresh_folder
+from feedlake.sources.paths import file_path, reader_paths
+from feedlake.sources.records import has_breaks, quoted_records
 
 OVERFLOW = "_overflow"
 _ODD = "_odd_line"
@@ -30,22 +31,6 @@ _UNCUT = {
 _READS = 200
 
 
-def reader_paths(paths: Sequence[str] | str) -> list[str]:
-    """Paths that a reader takes as they are: characters of glob patterns lose that meaning."""
-    paths = [paths] if isinstance(paths, str) else paths
-    return [re.sub(r"([\\\[\]{}*?])", r"\\\1", path) for path in paths]
-
-
-def file_path() -> Column:
-    """The path of a row's file as listings give it.
-
-    The reader's own column is URL-encoded, so names with a space, ``%`` or
-    letters beyond ASCII would not be found among the listed files.
-    """
-    # a plus sign stands for itself in paths, not for a space
-    return F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
-
-
 def scan_lines(spark: SparkSession, paths: Sequence[str] | str, trim: bool = False) -> DataFrame:
     """Non-blank lines as ``(file, file_name, block_start, value)``."""
     value = F.trim("value") if trim else F.col("value")
@@ -119,31 +104,30 @@ def scan_delimited(
 ) -> DataFrame:
     """A plain delimited file without a header line, all columns as text.
 
-    Quotes are honoured. Short rows are padded with null. ``_overflow`` holds
-    the whole line of a row with too many fields (null elsewhere), so that the
-    caller can refuse such rows. ``file`` and ``file_name`` say where a row
-    came from.
+    Quotes are honoured; a quoted field may go over several lines, and files are
+    cut into splits all the same. Short rows are padded with null. ``_overflow``
+    holds the whole record of a row with too many fields (null elsewhere), so
+    that the caller can refuse such rows. ``file`` and ``file_name`` say where a
+    row came from.
     """
     schema = T.StructType([T.StructField(n, T.StringType()) for n in (*names, _ODD)])
-    scanned = (
-        spark.read.schema(schema)
-        .option("sep", sep)
-        .option("header", False)
-        .option("mode", "PERMISSIVE")
-        .option("columnNameOfCorruptRecord", _ODD)
+    options = {"sep": sep, "mode": "PERMISSIVE", "columnNameOfCorruptRecord": _ODD, "escape": '"'}
+    if has_breaks(spark, paths, sep):
+        ddl = ", ".join(f"`{n}` string" for n in schema.names)
+        records = quoted_records(spark, paths, sep)
+        scanned = records.select("file", F.from_csv("value", ddl, options).alias("_row")).select("file", "_row.*")
+    else:
         # a reader that skips columns does not notice odd lines
-        .option("columnPruning", False)
-        .option("escape", '"')
-        .csv(reader_paths(paths))
-    )
-    # The reader hands over the line of short and of long rows; only these few
+        reader = spark.read.schema(schema).options(**options).option("header", False).option("columnPruning", False)
+        scanned = reader.csv(reader_paths(paths)).select(file_path().alias("file"), *names, _ODD)
+    # The parser hands over the text of short and of long rows; only these few
     # are counted, with the separators inside quotes left out.
     unquoted = F.regexp_replace(_ODD, r'"[^"]*"', "")
     count = F.length(unquoted) - F.length(F.replace(unquoted, F.lit(sep), F.lit(""))) + len(sep)
     too_long = F.col(_ODD).isNotNull() & (count > len(names) * len(sep))
     return scanned.select(
-        file_path().alias("file"),
-        F.substring_index(file_path(), "/", -1).alias("file_name"),
+        "file",
+        F.substring_index("file", "/", -1).alias("file_name"),
         *names,
         # a query on nothing but the odd lines is refused, so name a column
         F.when(too_long, F.coalesce(_ODD, names[0])).alias(OVERFLOW),

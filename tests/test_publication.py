@@ -264,3 +264,46 @@ def test_numbers_of_leases_grow(spark, tmp_path):
         lease.take("mine")
     with pytest.raises(FileExistsError):
         files.create(f"{target}.manifest/2024-01-15/lease-00000009", "y")
+
+
+# --- finished steps ------------------------------------------------------------------------
+
+
+def test_a_failed_run_is_taken_up_after_its_bronze(spark, landing, monkeypatch):
+    from feedlake.plans import ingest
+
+    drop_day(landing, 1)
+    landing.drop(f"P_{DAY}.pgp", PLACE, "p1|20240110101500|1|abc")
+    with pytest.raises(PySparkException, match="not a number: abc"):
+        daily_load(spark, landing.config())
+    steps = landing.root / "ledger.steps" / DAY
+    assert sorted({p.name.split("-")[0] for p in steps.iterdir()}) == ["bronze", "verdicts"]
+
+    def scanned_again(*args, **named):
+        raise AssertionError("the lines are read again")
+
+    monkeypatch.setattr(ingest, "bronze_lines", scanned_again)
+    monkeypatch.setattr(ingest, "judge_bronze", scanned_again)
+    # how amounts are read does not matter to bronze
+    result = daily_load(spark, landing.config(money_on_error="null"))
+    assert (result.published, reasons(result)) == (5, [(PLACEMENT, "p1|20240110101500|1|abc", "amount")])
+    assert everything(landing, spark) == of_version(1) and not steps.exists()
+
+
+@pytest.mark.parametrize("change", ["file", "setting", "half a note"])
+def test_other_inputs_do_not_take_up_a_step(spark, landing, change):
+    landing.markers(DAY)
+    landing.drop(f"P_{DAY}.pgp", PLACE, "p1|20240110101500|1|abc")
+    with pytest.raises(PySparkException):
+        daily_load(spark, landing.config())
+    settings = {"money_on_error": "null"}
+    if change == "file":
+        landing.drop(f"P_{DAY}.pgp", PLACE, "p22|20240110101500|1|2")
+    elif change == "setting":
+        settings["repairs"] = [("p1", "p22")]
+    else:
+        for note in (landing.root / "ledger.steps" / DAY).glob("bronze*.json"):
+            note.rename(f"{note}.new")
+        landing.drop(f"P_{DAY}.pgp", PLACE, "p22|20240110101500|1|2")
+    daily_load(spark, landing.config(**settings))
+    assert accounts(landing, spark, PLACEMENT) == ["p22"]
