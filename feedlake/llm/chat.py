@@ -87,7 +87,7 @@ def fingerprint(paths: Column) -> Column:
 
 
 def turns_of_records(
-    df: DataFrame, json_col: str, id_col: str = "conv_id", layouts: tuple[Layout, ...] = LAYOUTS
+    df: DataFrame, json_col: str, id_col: str = "conv_id", layouts: tuple[Layout, ...] = LAYOUTS, keep_unmatched: bool = False
 ) -> DataFrame:
     """Canonical turns ``(conv_id, turn, role, text)`` of a column of JSON records.
 
