@@ -277,7 +277,7 @@ def test_a_failed_run_is_taken_up_after_its_bronze(spark, landing, monkeypatch):
     with pytest.raises(PySparkException, match="not a number: abc"):
         daily_load(spark, landing.config())
     steps = landing.root / "ledger.steps" / DAY
-    assert sorted({p.name.split("-")[0] for p in steps.iterdir()}) == ["bronze", "verdicts"]
+    assert {p.name.split("-")[0] for p in steps.iterdir() if p.name[0] != "."} == {"bronze", "verdicts"}
 
     def scanned_again(*args, **named):
         raise AssertionError("the lines are read again")
@@ -293,17 +293,17 @@ def test_a_failed_run_is_taken_up_after_its_bronze(spark, landing, monkeypatch):
 @pytest.mark.parametrize("change", ["file", "setting", "half a note"])
 def test_other_inputs_do_not_take_up_a_step(spark, landing, change):
     landing.markers(DAY)
-    landing.drop(f"P_{DAY}.pgp", PLACE, "p1|20240110101500|1|abc")
+    landing.drop(f"AccountPlacementImportFile_{DAY}.pgp", PLACE, "p1|20240110101500|1|abc")
     with pytest.raises(PySparkException):
         daily_load(spark, landing.config())
     settings = {"money_on_error": "null"}
     if change == "file":
-        landing.drop(f"P_{DAY}.pgp", PLACE, "p22|20240110101500|1|2")
+        landing.drop(f"AccountPlacementImportFile_{DAY}.pgp", PLACE, "p22|20240110101500|1|2")
     elif change == "setting":
         settings["repairs"] = [("p1", "p22")]
     else:
         for note in (landing.root / "ledger.steps" / DAY).glob("bronze*.json"):
             note.rename(f"{note}.new")
-        landing.drop(f"P_{DAY}.pgp", PLACE, "p22|20240110101500|1|2")
+        landing.drop(f"AccountPlacementImportFile_{DAY}.pgp", PLACE, "p22|20240110101500|1|2")
     daily_load(spark, landing.config(**settings))
     assert accounts(landing, spark, PLACEMENT) == ["p22"]
