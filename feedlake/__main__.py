@@ -62,6 +62,10 @@ def main() -> None:
     print(f"{result.dropped} dropped because they name their feed")
     if result.rejects is not None:
         print("rejects:", *sorted({path.rsplit("/", 1)[0] for path in result.rejects.inputFiles()}))
+    if result.losses is not None:
+        losses = result.losses.groupBy("recordtype", "column", "reason").sum("lost")
+        for recordtype, column, reason, lost in sorted(losses.toLocalIterator(), key=repr):
+            print(f"lost: {lost} x {reason} in {recordtype}{'.' + column if column else ''}")
 
 
 if __name__ == "__main__":

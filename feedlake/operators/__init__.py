@@ -19,6 +19,7 @@ from feedlake.operators.envelope import (
     tag_single,
 )
 from feedlake.operators.runs import latest_status, ledger_rows, with_elapsed
+from feedlake.operators.losses import lost_amount, lost_date, lost_lines, lost_values, summarise_losses
 from feedlake.operators.typing_rules import (
     apply_formats,
     bad_amounts,
@@ -48,6 +49,10 @@ __all__ = [
     "is_single_type",
     "latest_status",
     "ledger_rows",
+    "lost_amount",
+    "lost_date",
+    "lost_lines",
+    "lost_values",
     "mark_fresh",
     "money_columns",
     "parse_dates_column",
@@ -60,6 +65,7 @@ __all__ = [
     "stamp_snapshot",
     "strip_header_contains",
     "strip_header_type",
+    "summarise_losses",
     "tag_lines",
     "tag_multi",
     "tag_single",

@@ -48,6 +48,7 @@ from feedlake.operators.envelope import (
     snapshot_from_name,
     tag_lines,
 )
+from feedlake.operators.losses import LOSS_KEYS, lost_amount, lost_date, lost_lines, lost_values, summarise_losses
 from feedlake.operators.typing_rules import (
     apply_formats,
     bad_amounts,
@@ -154,6 +155,9 @@ class LoadResult:
 
     ``tables`` has the rows of the day in each table that the run wrote to, also
     those of files that were loaded before, and ``published`` is their sum.
+    ``losses`` has what was not read, per file, record type, column and reason:
+    how many (``lost``) and the smallest few of the texts. Without a column
+    they are whole lines, which are in ``rejects``.
     """
 
     task_id: str
@@ -165,6 +169,7 @@ class LoadResult:
     rejects: DataFrame | None
     # lines of single-type feeds that went because they name the feed, though they are no headers
     dropped: int = 0
+    losses: DataFrame | None = None
 
 
 # --- arrival ---------------------------------------------------------------------------------
@@ -398,26 +403,27 @@ def _of_table(plan: TablePlan, cfg: LoadConfig) -> Column:
     )
 
 
-def typed_table(
-    bronze: DataFrame,
-    verdicts: DataFrame,
-    plan: TablePlan,
-    cfg: LoadConfig,
-    amounts: Observation | None = None,
-    source: str | None = None,
+# In front of the columns with the texts that dates were read from.
+_TEXT = "_text_"
+
+
+def _open_dates(plan: TablePlan) -> list[str]:
+    """Date columns with texts that are not of the first format; only those can lose values."""
+    return [name for name, fits in plan.first_fits.items() if fits is not True]
+
+
+def _dated_rows(
+    bronze: DataFrame, verdicts: DataFrame, plan: TablePlan, cfg: LoadConfig, kept: Sequence[str | Column] = ()
 ) -> DataFrame:
-    """Unpacked and typed rows of one record type; bronze is read in its folder only.
+    """Unpacked rows of one record type with typed dates; bronze is read in its folder only.
 
-    ``amounts`` counts, while the rows are written, those with an amount that
-    is no number (``bad``). ``source`` adds a column with each row's input file.
+    The texts of dates that may be lost stay, as ``_text_<column>``.
     """
     rows = bronze.where(_of_table(plan, cfg))
     files = verdicts.where(_of_table(plan, cfg))
     if plan.bad_rows:
         rows = rows.join(files.where(~F.col("fits")).select("file"), "file", "left_anti")
-    kept = ["recordtype", "line", "snap_dt"]
-    if source:
-        kept.append(F.col("file").alias(source))
+    kept = ["recordtype", "line", "snap_dt", *kept]
     by_column = cfg.date_rule == "fallback" and cfg.date_scope == "column"
     if by_column and None in plan.first_fits.values():
         flags = {c: f"_{c}" for c in _unfit_columns(verdicts)}
@@ -427,29 +433,66 @@ def typed_table(
         kept += flags.values()
     names, dates = plan.schema.names, list(plan.first_fits)
     out = unpack(rows.select(*kept), names, text="line", lead=plan.lead)
+    out = out.withColumns({_TEXT + c: F.col(c) for c in _open_dates(plan)})
     if cfg.date_rule == "coerce":
-        out = coerce_dates(out, dates)
-    elif cfg.date_scope == "row":
-        out = parse_dates_column(out, dates, scope="row")
-    else:
-        typed = {}
-        for nth, name in enumerate(dates):
-            fits = plan.first_fits[name]
-            if fits is None:
-                word, bit = divmod(nth, _FLAGS)
-                fits = F.getbit(f"_unfit_{word}", F.lit(bit)) == 0
-            typed[name] = date_choice(F.col(name), fits, RECORD_DATE_FORMATS, name, "coerce")
-        out = out.withColumns(typed)
+        return coerce_dates(out, dates)
+    if cfg.date_scope == "row":
+        return parse_dates_column(out, dates, scope="row")
+    typed = {}
+    for nth, name in enumerate(dates):
+        fits = plan.first_fits[name]
+        if fits is None:
+            word, bit = divmod(nth, _FLAGS)
+            fits = F.getbit(f"_unfit_{word}", F.lit(bit)) == 0
+        typed[name] = date_choice(F.col(name), fits, RECORD_DATE_FORMATS, name, "coerce")
+    return out.withColumns(typed)
+
+
+def _losses(plan: TablePlan, cfg: LoadConfig) -> list[tuple[str, str, Column, Column]]:
+    """What rows of ``_dated_rows`` can lose: column, reason, condition and text."""
+    texts = {c: F.col(_TEXT + c) for c in _open_dates(plan)}
+    dates = [(c, "date", lost_date(text, F.col(c)), text) for c, text in texts.items()]
+    if plan.feed != PLACEMENT_FEED or cfg.money_on_error != "null":
+        return dates
+    return dates + [(c, "amount", lost_amount(F.col(c)), F.col(c)) for c in money_columns(plan.schema.names)]
+
+
+def typed_table(
+    bronze: DataFrame,
+    verdicts: DataFrame,
+    plan: TablePlan,
+    cfg: LoadConfig,
+    seen: Observation | None = None,
+    source: str | None = None,
+) -> DataFrame:
+    """Typed rows of one record type; bronze is read in its folder only.
+
+    ``seen`` counts, while the rows are written, those that lost a value, by
+    reason (``date``, ``amount``). ``source`` adds a column with each row's
+    input file.
+    """
+    out = _dated_rows(bronze, verdicts, plan, cfg, [F.col("file").alias(source)] if source else [])
+    if seen is not None:
+        found = {"date": F.lit(False), "amount": F.lit(False)}
+        for _, reason, lost, _ in _losses(plan, cfg):
+            found[reason] = found[reason] | lost
+        out = out.observe(seen, *(F.count_if(any_lost).alias(reason) for reason, any_lost in found.items()))
+    names = plan.schema.names
     if plan.feed == PLACEMENT_FEED:
-        money = money_columns(names)
-        if amounts is not None:
-            out = out.observe(amounts, F.count_if(F.size(bad_amounts(money)) > 0).alias("bad"))
-        out = parse_doubles(out, money, cfg.money_on_error)
+        out = parse_doubles(out, money_columns(names), cfg.money_on_error)
     # snap_dt goes last, after the registered columns
     lead = [c for c in out.columns if c in ("recordtype", *names)]
     return out.select(*lead, "snap_dt", *([source] if source else []))
 
 
+def table_losses(bronze: DataFrame, verdicts: DataFrame, plan: TablePlan, cfg: LoadConfig) -> DataFrame:
+    """Each value that the rows of one record type lost; a pass of its own, for tables that lost any."""
+    rows = _dated_rows(bronze, verdicts, plan, cfg, [F.col("file").alias(SOURCE)])
+    kinds = F.lit(plan.recordtype).alias("_kind")
+    values = lost_values(rows, _losses(plan, cfg), [SOURCE, kinds])
+    return values.withColumnsRenamed({SOURCE: "file", "_kind": "recordtype"})
+
+
 def rejected_lines(
     bronze: DataFrame,
     verdicts: DataFrame,
@@ -544,6 +587,8 @@ class _Totals:
     rejected: int = 0
     dropped: int = 0
     rejects: list[DataFrame] = field(default_factory=list)
+    # values that were read as null or 0.0
+    losses: list[DataFrame] = field(default_factory=list)
     # files with rejected or held-back lines
     partial: list[DataFrame] = field(default_factory=list)
 
@@ -590,15 +635,19 @@ def _load_feeds(
     if cfg.fail_fast and day.unusable:
         raise RejectedRows(f"{day.unusable} lines without a usable header or schema")
 
-    noted = []
+    noted, lossy = [], []
 
     def load_table(plan: TablePlan) -> None:
-        lenient = plan.feed == PLACEMENT_FEED and cfg.money_on_error == "null"
-        amounts = Observation() if lenient and money_columns(plan.schema.names) else None
-        table = typed_table(bronze, verdicts, plan, cfg, amounts, SOURCE)
+        seen = Observation() if _losses(plan, cfg) else None
+        table = typed_table(bronze, verdicts, plan, cfg, seen, SOURCE)
         publication.stage(table, plan.feed, plan.recordtype, SOURCE, paths)
-        if amounts is not None and amounts.get["bad"]:
+        if seen is None:
+            return
+        found = seen.get
+        if found["amount"]:
             noted.append(plan)
+        if found["amount"] or found["date"]:
+            lossy.append(plan)
 
     # The tables are independent; a few at a time keep the executors busy
     # through the tail of each write.
@@ -607,6 +656,7 @@ def _load_feeds(
         list(pool.map(inheritable_thread_target(spark)(load_table), ready))
     if day.unusable or day.bad_rows or noted:
         totals.rejects.append(rejected_lines(bronze, verdicts, day.tables, cfg, noted))
+    totals.losses += [table_losses(bronze, verdicts, plan, cfg) for plan in lossy]
 
 
 def _load_queue(
@@ -662,6 +712,13 @@ def _load(
     rejects = None
     if totals.rejects:
         rejects = written(union_sources(*totals.rejects), f"{cfg.work}/rejects")
+    losses = []
+    if totals.losses:
+        values = summarise_losses(union_sources(*totals.losses))
+        losses.append(written(values, f"{cfg.work}/losses"))
+    if rejects is not None:
+        losses.append(lost_lines(rejects))
+    lost = union_sources(*losses).select(*LOSS_KEYS, "lost", "texts") if losses else None
     # all is written and judged; what these files had published before goes
     manifest = publication.commit(sources=_paths(files))
     fresh = files.withColumn("status", F.lit("ok"))
@@ -683,6 +740,7 @@ def _load(
         tables,
         rejects,
         totals.dropped,
+        lost,
     )
 
 
@@ -692,7 +750,7 @@ def daily_load(spark: SparkSession, cfg: LoadConfig) -> LoadResult:
     A failed run is noted as such and its error is raised again; running the
     day once more redoes what was not finished. Its bronze and verdicts lie
     beside the ledger until a run of the day ends well. Of the intermediate tables of a
-    run that ends well only the rejects stay.
+    run that ends well only the rejects and the lost values' summary stay.
     """
     configure(spark)
     cfg = replace(cfg, work=cfg.work or fresh_folder(spark, f"load-{cfg.syncday}"))

@@ -204,6 +204,32 @@ ORACLES: dict[str, str] = {
     "ingest_lineitem": "SELECT * FROM lineitem",
     "late_merge": "SELECT * FROM orders",
     "resume_steps": "SELECT * FROM orders",
+    "loss_summary": """
+        WITH rows AS (
+            SELECT o_orderstatus || (o_orderkey % 4) AS part,
+                   CASE WHEN o_orderstatus = 'F' OR (o_orderstatus = 'P' AND o_orderkey % 50 = 7)
+                            THEN strftime(o_orderdate, '%Y%m%d')
+                        WHEN o_orderstatus = 'O' AND o_orderkey % 11 = 0 THEN ''
+                        WHEN o_orderstatus = 'O' AND o_orderkey % 26 = 5 THEN 'n/a'
+                        ELSE strftime(o_orderdate, '%Y%m%d%H%M%S') END AS opened,
+                   CASE WHEN o_orderstatus = 'F' AND o_orderkey % 7 = 0 THEN o_orderkey || 'd'
+                        WHEN o_orderstatus = 'P' AND o_orderkey % 5 = 0 THEN '$' || (o_orderkey % 100)
+                   END AS amount
+            FROM orders),
+        judged AS (
+            SELECT *, bool_and(opened = '' OR length(opened) = 14) OVER (PARTITION BY part) AS fits
+            FROM rows),
+        lost AS (
+            SELECT part, 'placementdate' AS "column", 'date' AS reason, opened AS text FROM judged
+            WHERE part <> 'P3' AND NOT fits AND opened <> '' AND length(opened) <> 8
+            UNION ALL
+            SELECT part, 'balance', 'amount', amount FROM judged WHERE part <> 'P3' AND amount IS NOT NULL
+            UNION ALL
+            SELECT part, NULL, 'width', NULL FROM judged WHERE part = 'P3')
+        SELECT part, 'AcctPlacementFile' AS recordtype, "column", reason, count(*) AS lost,
+               coalesce(array_to_string(
+                   list_sort(list(DISTINCT text) FILTER (text IS NOT NULL))[1:3], ' '), '') AS texts
+        FROM lost GROUP BY part, "column", reason""",
     "full_ingest": """
         SELECT 'ORD' AS recordtype, count(*) AS rows, sum(o_orderkey)::BIGINT AS keys,
                sum(o_totalprice::DECIMAL(18, 2))::DOUBLE AS amount,

@@ -26,16 +26,25 @@ def pack(df: DataFrame, cols: Iterable[str] | None = None, sep: str = "|") -> Co
 
 
 def write_lines(
-    df: DataFrame, line: Column, folder: str, header: str | None = None, stem: str = "part"
+    df: DataFrame,
+    line: Column,
+    folder: str,
+    header: str | None = None,
+    stem: str = "part",
+    part: str | None = None,
 ) -> str:
     """Write a text column as ``.pgp`` files, each of them starting with ``header``.
 
     Every task writes a file of its own, header first, so nothing is shuffled:
     the writer of delimited files puts the column's name on top of each file.
+    With ``part`` the files of each value of that column are in a folder
+    ``<part>=<value>``.
     """
+    parts = [part] if part else []
     (
-        df.select(line.alias(header or "line"))
+        df.select(line.alias(header or "line"), *parts)
         .write.mode("append")
+        .partitionBy(*parts)
         .option("header", header is not None)
         .option("sep", "\u0001")
         .option("quote", "")

@@ -747,6 +747,52 @@ def resume_steps(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _retyped(_naive(table, "o_orderdate"), ORDERS)
 
 
+def loss_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders as twelve placement files, some with texts that are no dates or amounts, some too wide: what the load lost."""
+    orders = _table(spark, sf_dir, "orders")
+    root = fresh_folder(spark, "losses")
+    key, status = F.col("o_orderkey"), F.col("o_orderstatus")
+    day = F.date_format("o_orderdate", "yyyyMMdd")
+    opened = (
+        F.when(status == "F", day)
+        .when((status == "P") & (key % 50 == 7), day)
+        .when((status == "O") & (key % 11 == 0), "")
+        .when((status == "O") & (key % 26 == 5), "n/a")
+        .otherwise(_stamp("o_orderdate"))
+    )
+    amount = (
+        F.when((status == "F") & (key % 7 == 0), F.concat(key, F.lit("d")))
+        .when((status == "P") & (key % 5 == 0), F.concat(F.lit("$"), key % 100))
+        .when(key % 9 == 0, " ")
+        .otherwise(F.col("o_totalprice").cast("string"))
+    )
+    part = F.concat(status, key % 4)
+    extra = F.when(part == "P3", "|x|y").otherwise("")
+    line = F.concat(F.concat_ws("|", key, opened, amount, "o_orderpriority"), extra)
+    dealt = orders.withColumn("part", part).repartition("part")
+    parts = write_lines(dealt, line, f"{root}/parts", f"HDR|{PLACEMENT_FEED}|{DAY}093000", part="part")
+    for name in (f"{s}{n}" for s in "FOP" for n in range(4)):
+        if Files(spark).exists(f"{parts}/part={name}"):
+            name_files(spark, f"{parts}/part={name}", f"{root}/first", name, DAY, PAYLOAD_SUFFIX)
+    markers = write_lines(spark.range(0, 6, 1, 6), F.lit("x"), f"{root}/markers")
+    name_files(spark, markers, f"{root}/first", "Marker", DAY, MARKER_SUFFIX)
+    names = {"apf_acctplacementfile": ["accountno", "placementdate", "balance", "note"]}
+    registry = spark.createDataFrame([(json.dumps(names),)], "value string")
+    registry.coalesce(1).write.text(f"{root}/registry")
+    cfg = LoadConfig(
+        sources={"first": f"{root}/first"},
+        registry=f"{root}/registry",
+        target=f"{root}/published",
+        ledger=f"{root}/ledger",
+        work=f"{root}/work",
+        syncday=DAY,
+        money_on_error="null",
+    )
+    losses = daily_load(spark, cfg).losses
+    stem = F.regexp_extract("file", r"([FOP][0-3])_0_[0-9]+[.][a-z]+$", 1)
+    return losses.select(stem.alias("part"), "recordtype", "column", "reason", "lost", F.array_join("texts", " ").alias("texts"))
+
+
 def full_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What each published table holds after a whole load."""
     cfg = _ingested(spark, sf_dir)
@@ -815,4 +861,5 @@ PROBES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "full_ingest": full_ingest,
     "late_merge": late_merge,
     "resume_steps": resume_steps,
+    "loss_summary": loss_summary,
 }
