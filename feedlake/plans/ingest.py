@@ -77,6 +77,7 @@ from feedlake.sources.scan import (
     null_tokens,
     scan_delimited,
     scan_lines,
+    session_like,
     sniff_first_lines,
 )
 
@@ -299,6 +300,36 @@ def _unfit_dates(slots: range) -> list[Column]:
     ]
 
 
+# Splits of the bronze pass do not grow beyond this, and leave so many tasks for each core.
+_LARGEST_SPLIT = 2 << 30
+_TASKS_PER_CORE = 3
+
+
+def split_bytes(total: int, kinds: int, least: int, cores: int) -> int:
+    """Bytes of text that a task of the bronze pass is to read.
+
+    A task writes one file per record type it meets, so its share grows with the
+    ``kinds`` of them: files are then of ``least`` bytes of text on average,
+    however many kinds there are. It does not grow where that would leave cores
+    without work.
+    """
+    return max(least, min(least * max(kinds, 1), total // (_TASKS_PER_CORE * max(cores, 1)), _LARGEST_SPLIT))
+
+
+def _bronze_session(
+    spark: SparkSession, files: DataFrame, headers: DataFrame, entries: Mapping[str, Sequence[str]], cfg: LoadConfig
+) -> SparkSession:
+    """The session to read the day's lines in: with larger splits, if there is enough to read."""
+    found = {row.feed for row in headers.select("feed").distinct().collect()}
+    prefixes = [prefix for feed, prefix in cfg.prefixes.items() if feed in found]
+    kinds = max((sum(key.startswith(prefix) for key in entries) for prefix in prefixes), default=1)
+    name = "spark.sql.files.maxPartitionBytes"
+    least = spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(spark.conf.get(name))
+    total = files.agg(F.sum("length")).first()[0] or 0
+    split = split_bytes(total, kinds, least, spark.sparkContext.defaultParallelism)
+    return spark if split == least else session_like(spark, {name: str(split)})
+
+
 def write_bronze(lines: DataFrame, path: str) -> DataFrame:
     return written(lines, path, ("reason", "part_feed", "part_type", "snap_day"))
 
@@ -616,8 +647,9 @@ def _load_feeds(
 
     def bronze_step(path: str) -> tuple[DataFrame, dict]:
         dropped = Observation()
-        made = write_bronze(bronze_lines(spark, paths, headers, schemas, cfg, dropped), path)
-        return made, {"dropped": dropped.get["named"]}
+        reading = _bronze_session(spark, files, headers, entries, cfg)
+        made = write_bronze(bronze_lines(reading, paths, headers, schemas, cfg, dropped), path)
+        return spark.read.schema(made.schema).parquet(path), {"dropped": dropped.get["named"]}
 
     key = fingerprint(versions, entries, cfg.exclude_columns, cfg.repairs, cfg.prefixes, cfg.anchored_headers, cfg.trim_lines)
     bronze, facts = steps.take("bronze", key, bronze_step)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+from collections.abc import Iterable, Mapping, Sequence
 from functools import reduce
 from urllib.parse import unquote
 
@@ -47,13 +47,13 @@ def scan_lines(spark: SparkSession, paths: Sequence[str] | str, trim: bool = Fal
     )
 
 
-def _session_of_whole_files(spark: SparkSession) -> SparkSession:
-    """A session with all settings of ``spark``, also those made at run time, that cuts no file."""
+def session_like(spark: SparkSession, settings: Mapping[str, str]) -> SparkSession:
+    """A session with all settings of ``spark``, also those made at run time, but for ``settings``."""
     session = spark.newSession()
     for name, value in spark.conf.getAll.items():
         if session.conf.isModifiable(name):
             session.conf.set(name, value)
-    for name, value in _UNCUT.items():
+    for name, value in settings.items():
         session.conf.set(name, value)
     return session
 
@@ -69,7 +69,7 @@ def sniff_first_lines(
     single text is a folder, or a file. Should a file be cut all the same, a line
     from behind its first piece is not trusted: such files are scanned.
     """
-    session = _session_of_whole_files(spark)
+    session = session_like(spark, _UNCUT)
     if isinstance(paths, str):
         paths = [unquote(path) for path in session.read.text(reader_paths(paths)).inputFiles()]
     parts = []
