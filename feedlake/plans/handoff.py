@@ -15,26 +15,44 @@ from pyspark.sql.types import StructType
 # Bytes of a driver-made lookup table that may be broadcast without a size known to Spark.
 _LOOKUP_BYTES = 1 << 20
 
-_local_folders: dict[str, str] = {}
+# Shared folders of this process's applications: those made for one, and those tried.
+_own_folders: dict[str, str] = {}
+_tried: set[tuple[str, str]] = set()
 
 
 def shared_folder(spark: SparkSession) -> str:
     """Folder every executor can reach: ``spark.checkpoint.dir`` of the session.
 
-    Only a local-mode session without that setting gets a temporary folder.
+    Without that setting it is the folder of ``setCheckpointDir``, or else one in
+    the warehouse. Only where driver and executors are one process it is a
+    temporary folder. Elsewhere the folder is tried before its first use: what a
+    local folder of each machine holds would be lost without an error.
     """
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder:
-        local = spark.sparkContext.master.startswith("local")
-        if folder.startswith("/") and not local and spark._jsc.hadoopConfiguration().get("fs.defaultFS", "file:").startswith("file:"):
-            raise ValueError(f"{folder} is a local folder of each machine; set spark.checkpoint.dir to a shared one")
-        return folder.rstrip("/")
     sc = spark.sparkContext
-    if not sc.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    if sc.applicationId not in _local_folders:
-        _local_folders[sc.applicationId] = tempfile.mkdtemp(prefix="feedlake-")
-    return _local_folders[sc.applicationId]
+    one_process = sc.master.split("[")[0] == "local"
+    folder = spark.conf.get("spark.checkpoint.dir", None) or _own_folders.get(sc.applicationId) or sc.getCheckpointDir()
+    if not folder:
+        if one_process:
+            folder = tempfile.mkdtemp(prefix="feedlake-")
+        else:
+            folder = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_feedlake-{sc.applicationId}"
+        _own_folders[sc.applicationId] = folder
+    folder = folder.rstrip("/")
+    if not one_process and (sc.applicationId, folder) not in _tried:
+        _try_folder(spark, folder)
+        _tried.add((sc.applicationId, folder))
+    return folder
+
+
+def _try_folder(spark: SparkSession, folder: str) -> None:
+    """Refuse a folder in which the driver does not find what tasks wrote."""
+    path = f"{folder}/trial-{uuid.uuid4().hex}"
+    rows = max(2, spark.sparkContext.defaultParallelism)
+    spark.range(0, rows, 1, rows).write.parquet(path)
+    found = spark.read.schema("id long").parquet(path).count()
+    delete_folder(spark, path)
+    if found != rows:
+        raise ValueError(f"{folder} is not shared by all executors; set spark.checkpoint.dir to a folder that is")
 
 
 _made: ContextVar[list[str] | None] = ContextVar("made", default=None)

@@ -58,6 +58,10 @@ def session_like(spark: SparkSession, settings: Mapping[str, str]) -> SparkSessi
     return session
 
 
+def _session_of_whole_files(spark: SparkSession) -> SparkSession:
+    return session_like(spark, _UNCUT)
+
+
 def sniff_first_lines(
     spark: SparkSession, paths: Sequence[str] | str, trim: bool = False
 ) -> DataFrame:
@@ -69,7 +73,7 @@ def sniff_first_lines(
     single text is a folder, or a file. Should a file be cut all the same, a line
     from behind its first piece is not trusted: such files are scanned.
     """
-    session = session_like(spark, _UNCUT)
+    session = _session_of_whole_files(spark)
     if isinstance(paths, str):
         paths = [unquote(path) for path in session.read.text(reader_paths(paths)).inputFiles()]
     parts = []

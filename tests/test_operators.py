@@ -22,7 +22,7 @@ from feedlake.operators import (
     tag_lines,
     width_guard,
 )
-from feedlake.plans import ingest
+from feedlake.plans import handoff, ingest
 from feedlake.plans.handoff import from_driver, shared_folder, written
 from feedlake.sources import discover, scan, scan_lines, sniff_first_lines
 from feedlake.sources.registry import registry_entries
@@ -280,6 +280,37 @@ def test_shared_folder_is_the_one_of_the_session(spark):
     assert shared_folder(spark) == spark.conf.get("spark.checkpoint.dir")
 
 
+def test_cluster_takes_a_shared_folder_without_scheme(spark, monkeypatch):
+    monkeypatch.setattr(spark.sparkContext, "master", "spark://elsewhere:7077")
+    assert shared_folder(spark) == spark.conf.get("spark.checkpoint.dir")
+    assert written(spark.range(3)).count() == 3
+
+
+@pytest.mark.parametrize("master", ["spark://elsewhere:7077", "local-cluster[2,1,1024]"])
+def test_cluster_without_checkpoint_folder_uses_the_warehouse(spark, monkeypatch, tmp_path, master):
+    monkeypatch.setattr(spark.sparkContext, "master", master)
+    monkeypatch.setattr(handoff, "_own_folders", {})
+    kept = {name: spark.conf.get(name) for name in ("spark.checkpoint.dir", "spark.sql.warehouse.dir")}
+    given = {"spark.checkpoint.dir": None, "spark.sql.warehouse.dir": f"file:{tmp_path}/tables"}
+    session = spark.newSession()
+    monkeypatch.setattr(type(session.conf), "get", lambda conf, name, *default: given[name])
+    monkeypatch.setattr(spark.sparkContext, "getCheckpointDir", lambda: None)
+    folder = shared_folder(session)
+    assert folder.startswith(given["spark.sql.warehouse.dir"]) and shared_folder(session) == folder
+    monkeypatch.setattr(handoff, "_own_folders", {})
+    monkeypatch.setattr(spark.sparkContext, "getCheckpointDir", lambda: kept["spark.checkpoint.dir"])
+    assert shared_folder(session) == kept["spark.checkpoint.dir"]
+
+
+def test_folder_that_loses_what_tasks_write_is_refused(spark, monkeypatch):
+    monkeypatch.setattr(spark.sparkContext, "master", "spark://elsewhere:7077")
+    monkeypatch.setattr(handoff, "_tried", set())
+    read = type(spark.read)
+    monkeypatch.setattr(read, "parquet", lambda reader, path: spark.createDataFrame([], "id long"))
+    with pytest.raises(ValueError, match="not shared by all executors"):
+        shared_folder(spark)
+
+
 def test_later_passes_read_only_what_they_need(spark, landing):
     line = "ACT|a1|20240110101500|C1"
     landing.drop("A_20240115.pgp", "AcctActReturnFile|x|20240115", line, "NOT|a1|20240111120000|hi")
