@@ -11,6 +11,7 @@ MASTER = "spark://elsewhere:7077"
 
 ON_CLUSTER = [
     "demux",
+    "fallback_dates",
 ]
 
 TABLES = {
