@@ -12,6 +12,7 @@ MASTER = "spark://elsewhere:7077"
 ON_CLUSTER = [
     "demux",
     "fallback_dates",
+    "feed_header",
 ]
 
 TABLES = {
