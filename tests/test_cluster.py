@@ -13,6 +13,7 @@ ON_CLUSTER = [
     "demux",
     "fallback_dates",
     "feed_header",
+    "feed_header_scan",
 ]
 
 TABLES = {
