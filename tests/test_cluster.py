@@ -14,6 +14,7 @@ ON_CLUSTER = [
     "fallback_dates",
     "feed_header",
     "feed_header_scan",
+    "full_ingest",
 ]
 
 TABLES = {
