@@ -15,6 +15,7 @@ ON_CLUSTER = [
     "feed_header",
     "feed_header_scan",
     "full_ingest",
+    "file_select",
 ]
 
 TABLES = {
