@@ -16,6 +16,7 @@ ON_CLUSTER = [
     "feed_header_scan",
     "full_ingest",
     "file_select",
+    "ingest_lineitem",
 ]
 
 TABLES = {
