@@ -17,6 +17,7 @@ ON_CLUSTER = [
     "full_ingest",
     "file_select",
     "ingest_lineitem",
+    "ingest_orders",
 ]
 
 TABLES = {
