@@ -18,6 +18,7 @@ ON_CLUSTER = [
     "file_select",
     "ingest_lineitem",
     "ingest_orders",
+    "late_merge",
 ]
 
 TABLES = {
