@@ -19,6 +19,7 @@ ON_CLUSTER = [
     "ingest_lineitem",
     "ingest_orders",
     "late_merge",
+    "line_scan",
 ]
 
 TABLES = {
