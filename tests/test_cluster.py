@@ -20,6 +20,7 @@ ON_CLUSTER = [
     "ingest_orders",
     "late_merge",
     "line_scan",
+    "loss_summary",
 ]
 
 TABLES = {
