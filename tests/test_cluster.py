@@ -21,6 +21,7 @@ ON_CLUSTER = [
     "late_merge",
     "line_scan",
     "loss_summary",
+    "pad_short",
 ]
 
 TABLES = {
