@@ -22,6 +22,7 @@ ON_CLUSTER = [
     "line_scan",
     "loss_summary",
     "pad_short",
+    "overflow_one",
 ]
 
 TABLES = {
