@@ -23,6 +23,7 @@ ON_CLUSTER = [
     "loss_summary",
     "pad_short",
     "overflow_one",
+    "parquet_sink",
 ]
 
 TABLES = {
