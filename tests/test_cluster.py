@@ -24,6 +24,7 @@ ON_CLUSTER = [
     "pad_short",
     "overflow_one",
     "parquet_sink",
+    "publish",
 ]
 
 TABLES = {
