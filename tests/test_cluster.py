@@ -25,6 +25,7 @@ ON_CLUSTER = [
     "overflow_one",
     "parquet_sink",
     "publish",
+    "queue_dates",
 ]
 
 TABLES = {
