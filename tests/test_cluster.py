@@ -26,6 +26,7 @@ ON_CLUSTER = [
     "parquet_sink",
     "publish",
     "queue_dates",
+    "queue_inferred",
 ]
 
 TABLES = {
