@@ -27,6 +27,7 @@ ON_CLUSTER = [
     "publish",
     "queue_dates",
     "queue_inferred",
+    "registry_lookup",
 ]
 
 TABLES = {
