@@ -28,6 +28,7 @@ ON_CLUSTER = [
     "queue_dates",
     "queue_inferred",
     "registry_lookup",
+    "run_ledger",
 ]
 
 TABLES = {
