@@ -29,6 +29,7 @@ ON_CLUSTER = [
     "queue_inferred",
     "registry_lookup",
     "run_ledger",
+    "resume_steps",
 ]
 
 TABLES = {
